@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from firmweave.operators.relational import lookup
 from firmweave.storage import cut_lineage
 
 MAX_PIVOTS = 1_024
@@ -56,13 +57,41 @@ def neighbours(
 ) -> DataFrame:
     """(a, b, distance, rank): up to ``k`` nearest other rows with L2 distance < ``radius``.
 
-    Ties go to the smaller id.
+    Ties go to the smaller id. Copies of one vector are searched once: their
+    ``k + 1`` smallest ids stand for all of them, and every copy looks its list up.
     """
-    kind = dict(df.dtypes)[id_col]
     rows = cut_lineage(
         df.filter(F.col(vector_col).isNotNull())
         .select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     )
+    # a ranked limit is applied before the shuffle, so many copies stay cheap
+    few = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
+    groups = cut_lineage(
+        rows.withColumn("n", few).filter(F.col("n") <= k + 1)
+        .groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        .select(F.col("ids")[0].alias("id"), "ids", "vector")
+    )
+    near = _distinct_neighbours(groups.select("id", "vector"), k, radius, block_rows)
+    reach = near.select("a", "b", "distance").unionByName(
+        groups.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("distance"))
+    )
+    lists = (
+        reach.join(groups.select(F.col("id").alias("b"), "ids"), "b")
+        .select("a", "distance", F.explode("ids").alias("b"))
+        .groupBy("a")
+        .agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "b"))), 1, k + 1).alias("near"))
+        .withColumnRenamed("a", "gid")
+    )
+    owner = groups.select("vector", F.col("id").alias("gid"))
+    listed = lookup(lookup(rows, owner, "vector", "inner").drop("vector"), lists, "gid", "inner")
+    mine = F.slice(F.filter("near", lambda x: x["b"] != F.col("id")), 1, k)
+    return listed.select(F.col("id").alias("a"), F.posexplode(mine).alias("pos", "x")).select(
+        "a", "x.b", "x.distance", (F.col("pos") + 1).alias("rank")
+    )
+
+
+def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int) -> DataFrame:
+    kind = dict(rows.dtypes)["id"]
     pivots = _pivots(rows, rows.count())
     between = _distances(pivots, pivots)
     eps = 1e-6
@@ -85,30 +114,33 @@ def neighbours(
         rows.mapInPandas(place, f"id {kind}, vector array<double>, home int, cells array<int>")
     )
     sizes = placed.groupBy(F.col("home").alias("cell")).agg(
-        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("blocks")
     )
     visits = placed.select("id", "vector", F.explode("cells").alias("cell"))
-    chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("chunks"))
+    chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("chunks"))
     grid = F.broadcast(sizes.join(chunks, "cell"))  # one row for each pivot
     data = (
         placed.select("id", "vector", F.col("home").alias("cell")).join(grid, "cell")
         .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).cast("bigint"))
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         .select("cell", "block", "chunk", "id", "vector")
     )
     query = (
         visits.join(grid, "cell")
         .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("bigint"))
-        .select("cell", "block", "chunk", "id", "vector")
+        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .select(
+            F.col("cell").alias("c"), F.col("block").alias("r"), F.col("chunk").alias("q"),
+            F.col("id").alias("a"), F.col("vector").alias("x"),
+        )
     )
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"a": left["id"][:0], "b": left["id"][:0], "distance": np.zeros(0)})
-        x = np.stack(left["vector"].to_numpy()).astype("float64")
+            return pd.DataFrame({"a": left["a"][:0], "b": left["a"][:0], "distance": np.zeros(0)})
+        x = np.stack(left["x"].to_numpy()).astype("float64")
         y = np.stack(right["vector"].to_numpy()).astype("float64")
-        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
+        ids, others = left["a"].to_numpy(), right["id"].to_numpy()
         out: list[pd.DataFrame] = []
         for start in range(0, len(x), 512):
             part = x[start:start + 512]
@@ -122,9 +154,8 @@ def neighbours(
             out.append(found.groupby("a", sort=False).head(k))
         return pd.concat(out)
 
-    keys = ["cell", "block", "chunk"]
     local = (
-        query.groupBy(*keys).cogroup(data.groupBy(*keys))
+        query.groupBy("c", "r", "q").cogroup(data.groupBy("cell", "block", "chunk"))
         .applyInPandas(best, f"a {kind}, b {kind}, distance double")
     )
     rank = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))

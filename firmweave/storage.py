@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _LOCAL_SCRATCH: str | None = None  # only ever used with a local master
 
@@ -38,3 +40,45 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files directly in ``folder``."""
+    fs, jpath = _hadoop_path(spark, folder)
+    return [s.getPath().toString() for s in fs.listStatus(jpath) if s.isFile()]
+
+
+def fingerprint(spark: SparkSession, paths: list[str], *settings: object) -> str:
+    """Digest of the files' names, sizes and times plus any settings; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    row = files.select("path", "length", "modificationTime").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("x"),
+    ).first()
+    return f"{row['n']:x}-{(row['x'] or 0) & (2**64 - 1):016x}-{zlib.crc32(repr(settings).encode()):08x}"
+
+
+class StageTables:
+    """Parquet tables of one run. A finished table is reused while its inputs stay the same."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, key: str):
+        self.spark, self.out_dir, self.key = spark, out_dir.rstrip("/"), key
+        self.reused: list[str] = []
+
+    def path(self, stage: str) -> str:
+        return f"{self.out_dir}/{stage}/{self.key}"
+
+    def table(self, stage: str, build: Callable[[], DataFrame], measure: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+        """The stage's table, built and measured in one pass unless it is already there."""
+        path = self.path(stage)
+        measure = measure or {}
+        if exists(self.spark, f"{path}/_SUCCESS"):
+            self.reused.append(stage)
+            df = self.spark.read.parquet(path)
+            return df, df.agg(*[c.alias(n) for n, c in measure.items()]).first().asDict() if measure else {}
+        df = build()
+        if measure:
+            seen = Observation()
+            df = df.observe(seen, *[c.alias(n) for n, c in measure.items()])
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path), seen.get if measure else {}
