@@ -46,30 +46,19 @@ def value_counts(
     weight = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     kinds = dict(df.dtypes)
     first = fields[0]
-    parts = []
-    for f in fields:
+    none = F.lit(0).cast("bigint")
+
+    def entry(field: str, value: Column, w: Column) -> Column:
+        return F.struct(F.lit(field).alias("field"), value.alias("value"), w.alias("w"))
+
+    def entries(field: str) -> Column:
+        if kinds[field].startswith("array"):
+            values = F.coalesce(F.col(field), F.array().cast("array<string>"))
+            return F.transform(values, lambda v: entry(field, v, none))
         # the first field carries the row weight, so it is counted once per row
-        w = weight if f == first else F.lit(0).cast("bigint")
-        if kinds[f].startswith("array"):
-            parts.append(
-                F.transform(
-                    F.coalesce(F.col(f), F.array().cast("array<string>")),
-                    lambda v, f=f: F.struct(
-                        F.lit(f).alias("field"), v.alias("value"),
-                        F.lit(0).cast("bigint").alias("w"),
-                    ),
-                )
-            )
-        else:
-            parts.append(
-                F.array(
-                    F.struct(
-                        F.lit(f).alias("field"),
-                        F.col(f).cast("string").alias("value"),
-                        w.alias("w"),
-                    )
-                )
-            )
+        return F.array(entry(field, F.col(field).cast("string"), weight if field == first else none))
+
+    parts = [entries(f) for f in fields]
     return (
         df.select(key, F.explode(F.concat(*parts)).alias("x"))
         .select(key, "x.field", "x.value", "x.w")

@@ -59,26 +59,50 @@ def fingerprint(spark: SparkSession, paths: list[str], *settings: object) -> str
 
 
 class StageTables:
-    """Parquet tables of one run. A finished table is reused while its inputs stay the same."""
+    """Parquet tables of one run, each under a key of everything it was computed from.
 
-    def __init__(self, spark: SparkSession, out_dir: str, key: str):
-        self.spark, self.out_dir, self.key = spark, out_dir.rstrip("/"), key
-        self.reused: list[str] = []
+    A finished table is reused while its inputs and settings, and those of all
+    stages before it, stay the same.
+    """
 
-    def path(self, stage: str) -> str:
-        return f"{self.out_dir}/{stage}/{self.key}"
+    def __init__(self, spark: SparkSession, out_dir: str, version: str = ""):
+        self.spark, self.out_dir = spark, out_dir.rstrip("/")
+        self.key = f"{zlib.crc32(version.encode()):08x}"
+        self.reused: list[str] = []
 
-    def table(self, stage: str, build: Callable[[], DataFrame], measure: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
-        """The stage's table, built and measured in one pass unless it is already there."""
-        path = self.path(stage)
-        measure = measure or {}
+    def depends_on(self, *inputs: object) -> None:
+        """Mix inputs into the key: folders or files (by metadata), DataFrames (by their files), settings."""
+        for item in inputs:
+            if isinstance(item, DataFrame):
+                files = item.inputFiles()
+                part = fingerprint(self.spark, files) if files else ""
+                part += item.schema.simpleString()
+            elif isinstance(item, str) and exists(self.spark, item):
+                part = fingerprint(self.spark, [item])
+            else:
+                part = repr(item)
+            self.key = f"{zlib.crc32((self.key + part).encode()):08x}"
+
+    def table(
+        self, stage: str, build: Callable[[], DataFrame], measure: dict[str, Column] | None = None
+    ) -> tuple[DataFrame, dict]:
+        """The stage's table and its measures, taken while writing it unless it is already there."""
+        path = f"{self.out_dir}/{stage}/{self.key}"
+        named = [c.alias(n) for n, c in (measure or {}).items()]
         if exists(self.spark, f"{path}/_SUCCESS"):
             self.reused.append(stage)
             df = self.spark.read.parquet(path)
-            return df, df.agg(*[c.alias(n) for n, c in measure.items()]).first().asDict() if measure else {}
+            return df, df.agg(*named).first().asDict() if named else {}
         df = build()
-        if measure:
+        if named:
             seen = Observation()
-            df = df.observe(seen, *[c.alias(n) for n, c in measure.items()])
+            df = df.observe(seen, *named)
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path), seen.get if measure else {}
+        return self.spark.read.parquet(path), seen.get if named else {}
+
+
+def append_metrics(spark: SparkSession, path: str, metrics: dict) -> None:
+    """Append one ``{timestamp, metrics}`` JSON line for a run."""
+    fields = [F.lit(v).alias(k) for k, v in metrics.items()]
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    spark.range(1).select(now.alias("timestamp"), F.struct(*fields).alias("metrics")).write.mode("append").json(path)

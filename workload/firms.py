@@ -8,10 +8,12 @@ from firmweave.functions.text import (
     COUNTRY_SPELLINGS, DIVISION_TAGS, LEGAL_SUFFIXES, clean_domain, core_name,
 )
 from firmweave.operators.components import numbered_labels
+from firmweave.operators.golden import first_pass_entities
 from firmweave.operators.relational import lookup
 from firmweave.operators.resolve import name_node
 from firmweave.operators.standardize import standardize
 from firmweave.sources.readers import reference_table
+from firmweave.storage import cut_lineage
 from workload.registry import table
 
 # ---------------------------------------------------------------- DataFrames
@@ -61,6 +63,11 @@ def core_clusters(firms: DataFrame) -> DataFrame:
     return lookup(named, clusters, "node", "inner").drop("node")
 
 
+def core_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-pass entities of ``core_clusters``, as a table of their own."""
+    return cut_lineage(first_pass_entities(core_clusters(firms(spark, sf_dir))))
+
+
 def firm_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every firm as an entity of its own, named by its core name, many without a domain."""
     return firms(spark, sf_dir).select(
