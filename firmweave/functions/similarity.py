@@ -7,9 +7,15 @@ are the only Python kernels. Callers run them after native candidate filters.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# executors get the kernels with the task, so they need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Weight of the token branches, and the length ratio beyond which
 # only partial scores (worth at most 90) are left.
 TOKEN_WEIGHT = 0.95
@@ -79,6 +85,10 @@ def indel_distance(a: Column, b: Column) -> Column:
     return _pairwise(indel, "int")(a, b)
 
 
+def token_sort_score(a: Column, b: Column) -> Column:
+    return _pairwise(token_sort_ratio, "double")(a, b)
+
+
 def weighted_score(a: Column, b: Column) -> Column:
     return _pairwise(weighted_ratio, "double")(a, b)
 

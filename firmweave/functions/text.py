@@ -138,4 +138,4 @@ def tokens(c: Column | str) -> Column:
 
 
 def token_sort_key(c: Column | str) -> Column:
-    return F.array_join(F.array_sort(tokens(c)), " ")
+    return F.array_join(F.sort_array(tokens(c)), " ")

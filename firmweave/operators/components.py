@@ -13,9 +13,14 @@ from firmweave.operators.relational import HOT_KEY_ROWS, dense_number, lookup, s
 from firmweave.storage import cut_lineage
 
 
-def _with_minimum(edges: DataFrame, hub_rows: int) -> DataFrame:
-    """Attach ``m``, the smallest ``v`` of each ``u``; hubs go through a small broadcast."""
+def _with_minimum(edges: DataFrame, hub_rows: int, small: bool = False) -> DataFrame:
+    """Attach ``m``, the smallest ``v`` of each ``u``; hubs go through a small broadcast.
+
+    ``small`` says that ``edges`` has too few rows to hold a hub at all.
+    """
     least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
+    if small:
+        return edges.join(least.drop("degree"), "u")
     hubs = least.filter(F.col("degree") >= hub_rows).select("u")
     return split_join(edges, least.drop("degree"), hubs, "u", "inner")
 
@@ -34,26 +39,26 @@ def connected_components(edges: DataFrame, hub_rows: int = HOT_KEY_ROWS) -> Data
         .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
         .distinct()
     )
-    mark = _fingerprint(current)
     while True:
+        rows, done = _star_forest(current)
+        if done:
+            break
+        small = 2 * rows < hub_rows
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: every larger neighbour of u moves to the smallest of u's neighbourhood
         large = (
-            _with_minimum(both, hub_rows)
+            _with_minimum(both, hub_rows, small)
             .filter("v > u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
             .distinct()
         )
         # small star: u and its smaller neighbours all move to the smallest of them
-        low = _with_minimum(large, hub_rows)
+        low = _with_minimum(large, hub_rows, small)
         current = cut_lineage(
             low.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
             .filter("u != v")
             .distinct()
         )
-        last, mark = mark, _fingerprint(current)
-        if mark == last:
-            break
     return (
         current.select(F.col("u").alias("node"), F.col("v").alias("component"))
         .unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")))
@@ -61,13 +66,22 @@ def connected_components(edges: DataFrame, hub_rows: int = HOT_KEY_ROWS) -> Data
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.select(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("u", "v")).alias("x"),
-        F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s"),
+def _star_forest(edges: DataFrame) -> tuple[int, bool]:
+    """Row count, and whether every node has one parent and no parent has a parent itself."""
+    ends = edges.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent")),
+                F.struct(F.col("v").alias("x"), F.lit(0).alias("child"), F.lit(1).alias("parent")),
+            )
+        )
+    )
+    seen = ends.groupBy("x").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    row = seen.agg(
+        F.coalesce(F.sum("child"), F.lit(0)).alias("rows"),
+        F.coalesce(F.max(F.col("child") + F.col("parent")), F.lit(0)).alias("worst"),
     ).first()
-    return row["n"], row["x"], row["s"]
+    return row["rows"], row["worst"] <= 1
 
 
 def label_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:

@@ -186,7 +186,7 @@ def ratio_pairs(
     texts = left.select("text", F.lit(0).alias("side"))
     if right is not None:
         texts = texts.unionByName(right.select("text", F.lit(1).alias("side")))
-    texts = texts.filter("text != ''").distinct()
+    texts = cut_lineage(texts.filter("text != ''").distinct())
     pairs = _candidates(texts, num, den, strict, right is not None, refine_rows, depth)
     if right is not None:
         turned = F.col("side_a") == 1
@@ -209,7 +209,7 @@ def best_other_names(names: DataFrame, column: str = "name", num: int = 1, den:
 
     Kept only above ``100 * (1 - num / den)``. Ties go to the smaller name.
     """
-    keyed = (
+    keyed = cut_lineage(
         names.select(F.col(column).alias("name")).filter("name != ''").distinct()
         .withColumn("text", token_sort_key("name"))
     )
@@ -248,7 +248,7 @@ def best_other_names(names: DataFrame, column: str = "name", num: int = 1, den:
 
 
 def _token_set_key(text: str) -> Column:
-    return F.array_join(F.array_sort(F.array_distinct(tokens(text))), " ")
+    return F.array_join(F.sort_array(F.array_distinct(tokens(text))), " ")
 
 
 def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame) -> DataFrame:
@@ -258,7 +258,7 @@ def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame
     name lack a twin, so one of its ``2 d + 1`` rarest tokens is shared.
     """
     slack = 100 * TOKEN_WEIGHT - cutoff
-    rank = F.array_sort(
+    rank = F.sort_array(
         F.collect_list(F.struct(F.col("df"), F.col("token")))
     )
     longest = F.length("text") * (1 + LENGTH_RATIO_LIMIT)
@@ -295,8 +295,8 @@ def weighted_matches(left: DataFrame, right: DataFrame, cutoff: float) -> DataFr
     """
     if cutoff <= 90:
         raise ValueError("partial scores are not generated, so the cut-off must exceed 90")
-    left = left.select("text").filter("text != ''").distinct()
-    right = right.select("text").filter("text != ''").distinct()
+    left = cut_lineage(left.select("text").filter("text != ''").distinct())
+    right = cut_lineage(right.select("text").filter("text != ''").distinct())
     forms = F.array("text", token_sort_key("text"), _token_set_key("text"))
     if cutoff > 100 * TOKEN_WEIGHT:
         forms = F.array("text")

@@ -98,7 +98,7 @@ def refine_names(refined: DataFrame) -> DataFrame:
     kept = (
         alias.filter(~close).unionByName(near)
         .groupBy("canonical_id", "folded").agg(F.min("alias").alias("alias"))
-        .groupBy("canonical_id").agg(F.array_sort(F.collect_list("alias")).alias("aliases"))
+        .groupBy("canonical_id").agg(F.sort_array(F.collect_list("alias")).alias("aliases"))
     )
     return (
         base.drop("all_variations")

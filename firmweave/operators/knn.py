@@ -9,15 +9,20 @@ task sees an unbounded group, and only the k best of a block leave it.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from firmweave.operators.relational import lookup
 from firmweave.storage import cut_lineage
 
+# executors get the kernels with the task, so they need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_PIVOTS = 1_024
 MAX_PIVOT_BYTES = 32 * 1024 * 1024
 BLOCK_ROWS = 4_096
@@ -68,7 +73,7 @@ def neighbours(
     few = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     groups = cut_lineage(
         rows.withColumn("n", few).filter(F.col("n") <= k + 1)
-        .groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        .groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
         .select(F.col("ids")[0].alias("id"), "ids", "vector")
     )
     near = _distinct_neighbours(groups.select("id", "vector"), k, radius, block_rows)
@@ -79,7 +84,7 @@ def neighbours(
         reach.join(groups.select(F.col("id").alias("b"), "ids"), "b")
         .select("a", "distance", F.explode("ids").alias("b"))
         .groupBy("a")
-        .agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "b"))), 1, k + 1).alias("near"))
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "b"))), 1, k + 1).alias("near"))
         .withColumnRenamed("a", "gid")
     )
     owner = groups.select("vector", F.col("id").alias("gid"))
@@ -175,11 +180,11 @@ def radius_pairs(
 
 
 def hybrid_vector_pairs(
-    df: DataFrame, name_col: str, vector_col: str, *, k: int, min_cosine: float, lexical: dict
+    df: DataFrame, name_col: str, vector_col: str, *, k: int, min_cosine: float, lexical: float
 ) -> DataFrame:
     """Name pairs that are near by user vectors and lexically."""
     from firmweave.operators.vectors import lexically_close
 
     return lexically_close(
-        radius_pairs(df, name_col, vector_col, k=k, min_cosine=min_cosine), **lexical
+        radius_pairs(df, name_col, vector_col, k=k, min_cosine=min_cosine), lexical
     )

@@ -84,7 +84,7 @@ def values_of(*fields: str) -> Column:
     """Sorted distinct values of ``fields`` in a ``value_counts`` table; NULL when there are none."""
     hit = F.col("field").isin(list(fields)) & F.col("value").isNotNull()
     collect = F.collect_list if len(fields) == 1 else F.collect_set
-    found = F.array_sort(collect(F.when(hit, F.col("value"))))
+    found = F.sort_array(collect(F.when(hit, F.col("value"))))
     return F.when(F.size(found) > 0, found)
 
 

@@ -26,7 +26,7 @@ def name_node(column: str = "company_name") -> Column:
 
 def cluster_firms(
     firms: DataFrame, k: int = NEIGHBOURS, min_cosine: float = MIN_COSINE,
-    lexical: dict | None = None, pairs: DataFrame | None = None,
+    lexical: float = LEXICAL, pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Firms plus ``cluster_id``.
 
@@ -38,7 +38,7 @@ def cluster_firms(
     nodes = cut_lineage(firms.groupBy("node").agg(F.min("unique_id").alias("least")))
     if pairs is None:
         cores = nodes.filter(core_name("node") != "").select(F.col("node").alias("name"))
-        pairs = hybrid_pairs(cores, k=k, min_cosine=min_cosine, lexical=lexical or LEXICAL)
+        pairs = hybrid_pairs(cores, k=k, min_cosine=min_cosine, lexical=lexical)
     found = label_components(nodes, pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")), "node")
     # clusters are numbered by the smallest firm id in them
     least = found.join(nodes, "node").groupBy("component").agg(F.min("least").alias("least"))

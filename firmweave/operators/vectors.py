@@ -14,8 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from firmweave.functions.similarity import indel_budget, indel_distance, within_edits
-from firmweave.functions.text import token_sort_key
+from firmweave.functions.similarity import token_sort_score
 from firmweave.storage import cut_lineage
 
 GRAM_SIZE = 3
@@ -24,7 +23,7 @@ _SLACK = 1e-9  # covers floating point error in norms and products
 # Neighbours per name, least cosine, least token-sort score (exclusive).
 NEIGHBOURS = 10
 MIN_COSINE = 0.88
-LEXICAL = dict(num=19, den=100, strict=True)  # score above 81
+LEXICAL = 81
 
 REFINE_ROWS = 2_000
 
@@ -48,7 +47,7 @@ def gram_vectors(names: DataFrame, column: str = "name", size: int = GRAM_SIZE)
     weighted = grams.join(spread, "gram").select(
         "name", "gram", "df", (F.col("tf") * (F.log((total + 1) / (F.col("df") + 1)) + 1)).alias("w")
     )
-    terms = weighted.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("terms"))
+    terms = weighted.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("terms"))
     norm = F.sqrt(_square_sum(F.col("terms")))
     return terms.select("name", norm.alias("norm"), "terms").select(
         "name",
@@ -87,7 +86,11 @@ def cosine_pairs(vectors: DataFrame, min_cosine: float, refine_rows: int = REFIN
     keys = tails.select(
         "name", "weights", "terms",
         F.posexplode(F.filter("terms", lambda t: t["tail"] >= min_cosine - _SLACK)).alias("at", "t"),
-    ).select("name", "weights", "terms", "at", F.col("t.gram").alias("key"), F.col("t.w").alias("w"))
+    ).select(
+        "name", "weights", "terms", "at", F.col("t.gram").alias("key"), F.col("t.w").alias("w"),
+        # length of what follows the gram
+        F.sqrt(F.greatest(F.lit(0.0), F.col("t.tail") * F.col("t.tail") - F.col("t.w") * F.col("t.w"))).alias("after"),
+    )
     crowded = cut_lineage(
         keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("top"))
         .filter(F.col("n") > refine_rows).select("key", "top")
@@ -102,7 +105,7 @@ def cosine_pairs(vectors: DataFrame, min_cosine: float, refine_rows: int = REFIN
         second = F.transform(F.filter(rest, lambda t: t["tail"] >= need), lambda t: F.concat_ws("\x01", F.col("key"), t["gram"]))
         alone = F.when(need <= 0, F.array("key")).otherwise(F.array().cast("array<string>"))
         finer = keys.join(crowded, "key").select(
-            "name", "weights", "terms", F.explode(F.concat(second, alone)).alias("key")
+            "name", "weights", "terms", "w", "after", F.explode(F.concat(second, alone)).alias("key")
         )
         found = [
             _join_vectors(keys.join(crowded, "key", "left_anti"), min_cosine),
@@ -112,11 +115,13 @@ def cosine_pairs(vectors: DataFrame, min_cosine: float, refine_rows: int = REFIN
 
 
 def _join_vectors(keys: DataFrame, min_cosine: float) -> DataFrame:
-    left = keys.select("key", F.col("name").alias("a"), "terms")
-    right = keys.select("key", F.col("name").alias("b"), "weights")
+    left = keys.select("key", F.col("name").alias("a"), "terms", F.col("w").alias("wa"), F.col("after").alias("ra"))
+    right = keys.select("key", F.col("name").alias("b"), "weights", F.col("w").alias("wb"), F.col("after").alias("rb"))
+    # at the rarest gram a pair shares, this is the most its cosine can be
+    reach = F.col("wa") * F.col("wb") + F.col("ra") * F.col("rb")
     return (
         left.join(right, "key")
-        .filter("a < b")
+        .filter((F.col("a") < F.col("b")) & (reach >= min_cosine - _SLACK))
         .withColumn("cosine", F.round(_dot(F.col("terms"), F.col("weights")), 9))
         .filter(F.col("cosine") >= min_cosine)
         .select("a", "b", "cosine")
@@ -138,17 +143,9 @@ def nearest(pairs: DataFrame, k: int, score: str, descending: bool) -> DataFrame
     return both.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def lexically_close(pairs: DataFrame, num: int, den: int, strict: bool) -> DataFrame:
-    """Keep pairs (a, b) whose token-sort ratio is within the indel budget."""
-    keyed = pairs.withColumn("ka", token_sort_key("a")).withColumn("kb", token_sort_key("b"))
-    budget = indel_budget(F.length("ka") + F.length("kb"), num, den, strict)
-    ka, kb = F.col("ka"), F.col("kb")
-    return (
-        keyed.filter(budget >= 0)
-        .filter(within_edits(ka, kb, F.greatest(F.lit(0), budget)))
-        .filter(indel_distance(ka, kb) <= budget)
-        .drop("ka", "kb")
-    )
+def lexically_close(pairs: DataFrame, above: float) -> DataFrame:
+    """Keep pairs (a, b) whose token-sort ratio exceeds ``above``; at most k pairs a name get here."""
+    return pairs.filter(token_sort_score(F.col("a"), F.col("b")) > above)
 
 
 def oriented(pairs: DataFrame) -> DataFrame:
@@ -158,9 +155,9 @@ def oriented(pairs: DataFrame) -> DataFrame:
 
 def hybrid_pairs(
     names: DataFrame, column: str = "name", *, k: int = NEIGHBOURS, min_cosine: float = MIN_COSINE,
-    lexical: dict | None = None,
+    lexical: float = LEXICAL,
 ) -> DataFrame:
     """Name pairs (a, b) that are near in vector space and lexically."""
-    close = cosine_pairs(gram_vectors(names, column), min_cosine).filter(F.col("cosine") > min_cosine)
+    close = cosine_pairs(cut_lineage(gram_vectors(names, column)), min_cosine).filter(F.col("cosine") > min_cosine)
     ranked = nearest(close, k, "cosine", descending=True)
-    return lexically_close(oriented(ranked), **(lexical or LEXICAL))
+    return lexically_close(oriented(ranked), lexical)

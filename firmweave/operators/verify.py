@@ -25,7 +25,7 @@ def request_batches(entities: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
         F.col("domain").alias("current_domain"),
     )
     batches = rows.groupBy(F.floor(F.col("number") / size).cast("bigint").alias("batch_id")).agg(
-        F.array_sort(F.collect_list(record)).alias("records")
+        F.sort_array(F.collect_list(record)).alias("records")
     )
     return batches.select(
         "batch_id",
