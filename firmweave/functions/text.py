@@ -77,11 +77,8 @@ def bare_website(c: Column | str) -> Column:
 
 def canonical_country(c: Column | str) -> Column:
     raw = F.upper(F.trim(_col(c)))
-    out = None
-    for country, spellings in COUNTRY_SPELLINGS.items():
-        hit = raw.isin(spellings)
-        out = F.when(hit, country) if out is None else out.when(hit, country)
-    return out.otherwise(raw)
+    pairs = [F.lit(x) for country, forms in COUNTRY_SPELLINGS.items() for s in forms for x in (s, country)]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), raw), raw)
 
 
 def lenient_int(c: Column | str) -> Column:
@@ -115,17 +112,16 @@ def core_name(c: Column | str) -> Column:
 
 
 def clean_domain(c: Column | str) -> Column:
-    """Host part of a URL without ``www.``; NULL unless it looks like a company's own."""
-    url = strip(F.lower(_col(c)))
-    url = F.when(url.rlike("^https?://"), url).otherwise(F.concat(F.lit("http://"), url))
-    host = F.regexp_extract(F.regexp_replace(url, r"[\t\r\n]", ""), r"^https?://([^/?#]*)", 1)
-    host = F.regexp_replace(host, r"^www\.", "")
-    usable = (
-        host.rlike(r"(?s)\.[^.]{2,}$")
-        & ~host.rlike(r"[\[\]]")
-        & ~host.isin(UTILITY_DOMAINS)
-    )
-    return F.when(usable, host)
+    """Host part of a URL without ``www.``; NULL unless it looks like a company's own.
+
+    A host ends at ``/``, ``?`` or ``#``, has a dot, a last label of two or more
+    characters, and is not a utility site. One pattern, so the input appears once.
+    """
+    blocked = "|".join(d.replace(".", r"\.") for d in UTILITY_DOMAINS)
+    end = r"(?=[/?#]|$)"
+    own = rf"^(?!(?:{blocked}){end})[^/?#\[\]]*\.[^./?#\[\]]{{2,}}{end}"
+    url = F.regexp_replace(strip(F.lower(_col(c))), r"[\t\r\n]", "")
+    return F.regexp_substr(F.regexp_replace(url, r"^(https?://)?(www\.)?", ""), F.lit(own))
 
 
 def comparable(c: Column | str) -> Column:

@@ -9,26 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from firmweave.operators.relational import HOT_KEY_ROWS, dense_number, lookup, split_join
+from firmweave.operators.relational import HOT_KEY_ROWS, dense_number, lookup, salted_join
 from firmweave.storage import cut_lineage
 
 
 def _with_minimum(edges: DataFrame, hub_rows: int, small: bool = False) -> DataFrame:
-    """Attach ``m``, the smallest ``v`` of each ``u``; hubs go through a small broadcast.
+    """Attach ``m``, the smallest ``v`` of each ``u``; a hub's edges are salted.
 
     ``small`` says that ``edges`` has too few rows to hold a hub at all.
     """
     least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
     if small:
         return edges.join(least.drop("degree"), "u")
-    hubs = least.filter(F.col("degree") >= hub_rows).select("u")
-    return split_join(edges, least.drop("degree"), hubs, "u", "inner")
+    hubs = least.filter(F.col("degree") >= hub_rows).select(
+        "u", F.ceil(F.col("degree") / hub_rows).alias("salts")
+    )
+    return salted_join(edges, least.drop("degree"), hubs, "u", "inner")
 
 
 def group_edges(df: DataFrame, key: str, node: str, hub_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Edges (src, dst) from every node to the smallest node that shares its ``key``."""
     pairs = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("u"), F.col(node).alias("v"))
-    starred = _with_minimum(pairs.distinct(), hub_rows)
+    starred = _with_minimum(pairs, hub_rows)
     return starred.filter("v != m").select(F.col("v").alias("src"), F.col("m").alias("dst"))
 
 

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firmweave.functions.text import clean_domain, is_missing, match_key
-from firmweave.operators.components import group_edges, remap
 from firmweave.operators.fuzzy import best_reference
 from firmweave.operators.golden import unified_entities
 from firmweave.operators.relational import lookup
@@ -92,9 +91,12 @@ def unify_domains(entities: DataFrame) -> DataFrame:
 
     An entity has one domain, so the groups are already the components.
     """
-    shared = group_edges(entities.filter(~is_missing("domain")), "domain", "canonical_id")
-    mapping = shared.select(F.col("src").alias("node"), F.col("dst").alias("component"))
-    return unified_entities(remap(entities, mapping, "canonical_id"))
+    rich = entities.filter(~is_missing("domain"))
+    least = rich.groupBy("domain").agg(F.min("canonical_id").alias("least"))
+    moved = lookup(rich, least, "domain", "inner").withColumn("canonical_id", F.col("least"))
+    return unified_entities(
+        entities.filter(is_missing("domain")).unionByName(moved.select(*entities.columns))
+    )
 
 
 def with_logos(entities: DataFrame, url_status: DataFrame) -> DataFrame:

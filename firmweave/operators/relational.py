@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key with at least this many rows is joined through a broadcast of the hot
-# keys only. There are at most rows / HOT_KEY_ROWS such keys.
+# Rows of one key that a join task should see at most. A key with more is salted:
+# its rows are spread over several tasks and its lookup row is sent to each.
 HOT_KEY_ROWS = 1_000_000
 
 
@@ -16,23 +16,29 @@ def lookup(
 ) -> DataFrame:
     """Join ``big`` with ``small`` (unique on ``key``) even if one key fills ``big``.
 
-    Rows of hot keys never meet in one shuffle partition: their few ``small``
-    rows are broadcast (bounded by ``rows / hot_rows``), all others shuffle.
+    ``big`` is read twice (once for the key alone), so it should be a table.
     """
-    hot = big.groupBy(key).count().filter(F.col("count") >= hot_rows).select(key)
-    return split_join(big, small, hot, key, how)
+    hot = (
+        big.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_rows)
+        .select(key, F.ceil(F.col("n") / hot_rows).alias("salts"))
+    )
+    return salted_join(big, small, hot, key, how)
 
 
-def split_join(
+def salted_join(
     big: DataFrame, small: DataFrame, hot: DataFrame, key: str, how: str = "left"
 ) -> DataFrame:
-    """``lookup`` with the (few, distinct) hot keys already known."""
-    hot = F.broadcast(hot.select(key).withColumn("__hot", F.lit(True)))
-    hot_small = small.join(hot, key).drop("__hot")
-    big = big.join(hot, key, "left")
-    cold = big.filter("__hot is null").drop("__hot").join(small, key, how)
-    warm = big.filter("__hot").drop("__hot").join(F.broadcast(hot_small), key, how)
-    return cold.unionByName(warm)
+    """``lookup`` with the hot keys (key, salts) known: at most rows / hot_rows of them, so broadcast."""
+    hot = F.broadcast(hot)
+    # the rows of a hot key come from many input partitions
+    spread = F.pmod(F.spark_partition_id().cast("bigint"), F.coalesce("salts", F.lit(1)))
+    left = big.join(hot, key, "left").withColumn("__salt", spread).drop("salts")
+    right = (
+        small.join(hot, key, "left")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1)) - 1)))
+        .drop("salts")
+    )
+    return left.join(right, [key, "__salt"], how).drop("__salt")
 
 
 def value_counts(

@@ -67,34 +67,40 @@ def run_pipeline(
     refined, seen = stages.table("refined", lambda: second_pass(entities), {"refined_entities": _ROWS})
     metrics |= seen
 
+    # every stage below reads its input more than once, so each one is a table
     current = seed_domain(refined)
     if references:
         stages.depends_on(*references)
         reference, _ = stages.table("reference", lambda: enrich.unified_reference(*references))
-        current = enrich.clean_domains(enrich.fill_exact(current, reference))
+        start = current
+        current, _ = stages.table(
+            "exact", lambda: enrich.clean_domains(enrich.fill_exact(start, reference))
+        )
     if bulk is not None:
         stages.depends_on(bulk)
-        current, _ = stages.table("exact", lambda: enrich.clean_domains(current))
-        current = enrich.clean_domains(enrich.fill_bulk(current, bulk))
+        exact = current
+        current, _ = stages.table("bulk", lambda: enrich.clean_domains(enrich.fill_bulk(exact, bulk)))
     if references:
         stages.depends_on(cutoff)
-        before, _ = stages.table("bulk", lambda: enrich.clean_domains(current))
-        current = enrich.fill_fuzzy(before, enrich.automotive(reference), cutoff)
+        looked_up = current
+        current, _ = stages.table(
+            "fuzzy", lambda: enrich.fill_fuzzy(looked_up, enrich.automotive(reference), cutoff)
+        )
     filled, seen = stages.table(
         "filled", lambda: enrich.clean_domains(current), {"domains_filled": _FILLED}
     )
     metrics |= seen
+    unified, _ = stages.table("unified", lambda: enrich.unify_domains(filled))
     if url_status is not None:
         stages.depends_on(url_status)
 
-    def unified() -> DataFrame:
-        merged = enrich.unify_domains(filled)
+    def with_logos() -> DataFrame:
         if url_status is None:
-            return merged.withColumn("logo_url", F.lit(None).cast("string"))
-        return enrich.with_logos(merged, url_status)
+            return unified.withColumn("logo_url", F.lit(None).cast("string"))
+        return enrich.with_logos(unified, url_status)
 
     enriched, seen = stages.table(
-        "enriched", unified, {"enriched_entities": _ROWS, "enriched_domains": _FILLED}
+        "enriched", with_logos, {"enriched_entities": _ROWS, "enriched_domains": _FILLED}
     )
     metrics |= seen
 

@@ -257,8 +257,7 @@ master AS (
 
 def core_master(spark, sf):
     """Master table over core-name clusters with logos and descriptions."""
-    entities = first_pass_entities(W.core_clusters(W.firms(spark, sf)))
-    entities = entities.withColumn("domain", clean_domain("primary_website")).drop("primary_website")
+    entities = W.core_entities(spark, sf).withColumn("domain", clean_domain("primary_website")).drop("primary_website")
     part = table(spark, sf, "part").select("p_partkey", F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(".com")).alias("d"))
     first, second = (F.replace(F.lit(t), F.lit("{domain}"), F.col("d")) for t in enrich.LOGO_TEMPLATES)
     status = part.select(first.alias("url"), F.when(F.col("p_partkey") % 9 == 0, 200).otherwise(404).alias("status")).unionByName(
@@ -325,11 +324,12 @@ def master_entities(spark, sf):
     """Firms to master table: both passes, three lookups, domain merge, logos, verification."""
     firms = W.firms(spark, sf)
     entities = cut_lineage(first_pass_entities(resolve.cluster_firms(firms)))
-    refined = cut_lineage(resolve.second_pass(entities))
+    refined = cut_lineage(enrich.clean_domains(resolve.second_pass(entities)))
     reference = cut_lineage(enrich.unified_reference(W.reference_rows(spark, sf)))
-    filled = enrich.fill_exact(enrich.clean_domains(refined), reference)
-    filled = cut_lineage(enrich.fill_bulk(filled, W.bulk_rows(spark, sf)))
-    filled = enrich.fill_fuzzy(filled, enrich.automotive(reference))
-    merged = cut_lineage(enrich.with_logos(enrich.unify_domains(enrich.clean_domains(filled)), page_status(spark, sf)))
+    exact = cut_lineage(enrich.fill_exact(refined, reference))
+    bulk = cut_lineage(enrich.fill_bulk(exact, W.bulk_rows(spark, sf)))
+    fuzzy = cut_lineage(enrich.clean_domains(enrich.fill_fuzzy(bulk, enrich.automotive(reference))))
+    merged = cut_lineage(enrich.unify_domains(fuzzy))
+    merged = cut_lineage(enrich.with_logos(merged, page_status(spark, sf)))
     requests = cut_lineage(verify.request_batches(merged))
     return verify.master_table(merged, verify.ingest_responses(requests, responses(requests)))
