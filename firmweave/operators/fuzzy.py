@@ -21,9 +21,9 @@ from firmweave.functions.similarity import (
 from firmweave.functions.text import comparable, token_sort_key, tokens
 from firmweave.storage import cut_lineage
 
-# A key with more index rows than this is refined by a second segment.
-REFINE_ROWS = 2_000
-REFINE_DEPTH = 3
+# A key with more index rows than this is refined by a further segment, at most so often.
+REFINE_ROWS = 1_000
+REFINE_DEPTH = 6
 
 
 def _segment_start(i: Column, n: Column, m: Column) -> Column:
@@ -135,21 +135,27 @@ def _candidates(
     )
     found = []
     for level in range(depth):
+        # a remainder shorter than its number of segments cannot be told apart further
+        counted = index.groupBy("key").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("n").alias("n"), F.min("m").alias("m")
+        )
         crowded = None
         if level < depth - 1:
-            counted = index.groupBy("key").count().filter(F.col("count") > refine_rows)
-            crowded = cut_lineage(counted.select("key"))
+            many = counted.filter((F.col("rows") > refine_rows) & (F.col("n") >= F.col("m")))
+            # keys that nothing probes need no refinement
+            crowded = cut_lineage(
+                probe.select("key").join(many.select("key"), "key", "left_semi").distinct()
+            )
         if crowded is None or crowded.isEmpty():
             found.append(_join_keys(index, probe, num, den, strict, two_sided))
             break
-        found.append(
-            _join_keys(
-                index.join(crowded, "key", "left_anti"), probe, num, den, strict, two_sided
-            )
-        )
+        sparse = index.join(crowded, "key", "left_anti")
+        found.append(_join_keys(sparse, probe, num, den, strict, two_sided))
         keep = ["text", "side", "rest", "n", "m", F.col("key").alias("base")]
-        index = _index(index.join(crowded, "key", "left_semi").select(*keep))
-        probe = _probe(probe.join(crowded, "key", "left_semi").select(*keep, "gap"))
+        index = cut_lineage(_index(index.join(crowded, "key", "left_semi").select(*keep)), spread=True)
+        probe = cut_lineage(
+            _probe(probe.join(crowded, "key", "left_semi").select(*keep, "gap")), spread=True
+        )
     return reduce(DataFrame.unionByName, found).distinct()
 
 
@@ -186,7 +192,7 @@ def ratio_pairs(
     texts = left.select("text", F.lit(0).alias("side"))
     if right is not None:
         texts = texts.unionByName(right.select("text", F.lit(1).alias("side")))
-    texts = cut_lineage(texts.filter("text != ''").distinct())
+    texts = cut_lineage(texts.filter("text != ''").distinct(), spread=True)
     pairs = _candidates(texts, num, den, strict, right is not None, refine_rows, depth)
     if right is not None:
         turned = F.col("side_a") == 1

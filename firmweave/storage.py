@@ -34,10 +34,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: short plan, survives lost executors."""
+def cut_lineage(df: DataFrame, spread: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: short plan, survives lost executors.
+
+    ``spread`` keeps as many files as shuffle partitions, for small tables that
+    much work is done on.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    if spread:
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
