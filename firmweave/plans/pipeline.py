@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firmweave.functions.text import is_missing
 from firmweave.operators import enrich, verify
@@ -13,8 +13,13 @@ from firmweave.operators.vectors import LEXICAL, MIN_COSINE, NEIGHBOURS
 from firmweave.sources.readers import raw_files, read_raw, seed_domain
 from firmweave.storage import StageTables, append_metrics
 
-_ROWS = F.count(F.lit(1))
-_FILLED = F.count_if(~is_missing("domain"))
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _filled() -> Column:
+    return F.count_if(~is_missing("domain"))
 
 
 def run_pipeline(
@@ -51,20 +56,20 @@ def run_pipeline(
     firms, seen = stages.table(
         "firms",
         lambda: standardize(harmonised_union(read_raw(spark, raw_dir, **(csv_options or {})))),
-        {"etl_total_rows": _ROWS},
+        {"etl_total_rows": _rows()},
     )
     metrics |= seen
 
     stages.depends_on("first pass", k, min_cosine, LEXICAL)
     clusters, seen = stages.table(
-        "clusters", lambda: cluster_firms(firms, k, min_cosine), {"dedupe_input_records": _ROWS}
+        "clusters", lambda: cluster_firms(firms, k, min_cosine), {"dedupe_input_records": _rows()}
     )
     metrics |= seen
     entities, seen = stages.table(
-        "entities", lambda: first_pass_entities(clusters), {"dedupe_total_clusters": _ROWS}
+        "entities", lambda: first_pass_entities(clusters), {"dedupe_total_clusters": _rows()}
     )
     metrics |= seen
-    refined, seen = stages.table("refined", lambda: second_pass(entities), {"refined_entities": _ROWS})
+    refined, seen = stages.table("refined", lambda: second_pass(entities), {"refined_entities": _rows()})
     metrics |= seen
 
     # every stage below reads its input more than once, so each one is a table
@@ -87,7 +92,7 @@ def run_pipeline(
             "fuzzy", lambda: enrich.fill_fuzzy(looked_up, enrich.automotive(reference), cutoff)
         )
     filled, seen = stages.table(
-        "filled", lambda: enrich.clean_domains(current), {"domains_filled": _FILLED}
+        "filled", lambda: enrich.clean_domains(current), {"domains_filled": _filled()}
     )
     metrics |= seen
     unified, _ = stages.table("unified", lambda: enrich.unify_domains(filled))
@@ -100,7 +105,7 @@ def run_pipeline(
         return enrich.with_logos(unified, url_status)
 
     enriched, seen = stages.table(
-        "enriched", with_logos, {"enriched_entities": _ROWS, "enriched_domains": _FILLED}
+        "enriched", with_logos, {"enriched_entities": _rows(), "enriched_domains": _filled()}
     )
     metrics |= seen
 
@@ -113,7 +118,7 @@ def run_pipeline(
         return verify.ingest_responses(requests, responses)
 
     master, seen = stages.table(
-        "master", lambda: verify.master_table(enriched, answered(), strict), {"master_entities": _ROWS}
+        "master", lambda: verify.master_table(enriched, answered(), strict), {"master_entities": _rows()}
     )
     metrics |= seen
     append_metrics(spark, f"{stages.out_dir}/metrics", metrics)

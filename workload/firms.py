@@ -236,16 +236,16 @@ reference AS (
 
 def lcs_sql(a: str, b: str) -> str:
     """Length of the longest common subsequence, one matrix row for each character of ``a``."""
-    return f"""coalesce(list_reduce(
+    return f"""CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE coalesce(list_reduce(
       list_transform(string_split({a}, ''), lambda c: list_transform(string_split({b}, ''), lambda d: CASE WHEN c = d THEN 1 ELSE 0 END)),
       lambda prev, e: list_transform(range(1, len(e) + 1), lambda j: CAST(list_max(list_transform(range(1, j + 1), lambda i:
         greatest(prev[i], CASE WHEN i > 1 THEN prev[i - 1] ELSE 0 END + e[i]))) AS INTEGER)),
-      list_transform(string_split({b}, ''), lambda d: 0))[-1], 0)"""
+      list_transform(string_split({b}, ''), lambda d: 0))[-1], 0) END"""
 
 
 def ratio_sql(a: str, b: str) -> str:
     total = f"(length({a}) + length({b}))"
-    return f"(CASE WHEN {total} = 0 THEN 100.0 ELSE 100.0 * (1 - ({total} - 2 * {lcs_sql(a, b)}) / CAST({total} AS DOUBLE)) END)"
+    return f"(CASE WHEN {total} = 0 THEN 100.0 ELSE 100.0 * (1 - ({total} - 2 * ({lcs_sql(a, b)})) / CAST({total} AS DOUBLE)) END)"
 
 
 def token_key_sql(text: str) -> str:

@@ -81,7 +81,7 @@ sized AS (SELECT *, length({join('shared')}) AS base, CASE WHEN len(shared) > 0
 token_set AS (
   SELECT *, CASE WHEN gap = 1 AND (oa = '' OR ob = '') THEN 100.0
     ELSE greatest(
-      100.0 * (1 - (length(oa) + length(ob) - 2 * {W.lcs_sql('oa', 'ob')}) / CAST(2 * base + 2 * gap + length(oa) + length(ob) AS DOUBLE)),
+      100.0 * (1 - (length(oa) + length(ob) - 2 * ({W.lcs_sql('oa', 'ob')})) / CAST(2 * base + 2 * gap + length(oa) + length(ob) AS DOUBLE)),
       CASE WHEN gap = 1 THEN 100.0 * (1 - (1 + length(oa)) / CAST(2 * base + 1 + length(oa) AS DOUBLE)) ELSE 0 END,
       CASE WHEN gap = 1 THEN 100.0 * (1 - (1 + length(ob)) / CAST(2 * base + 1 + length(ob) AS DOUBLE)) ELSE 0 END) END AS set_score
   FROM sized),

@@ -29,7 +29,7 @@ tails AS (
   SELECT *, CASE WHEN same THEN substr(ka, 13) ELSE ka END AS ta, CASE WHEN same THEN substr(kb, 13) ELSE kb END AS tb
   FROM (SELECT *, left(ka, 12) = left(kb, 12) AS same FROM key_pairs)),
 scored AS (
-  SELECT ka, kb, 100.0 * (1 - (total - 2 * (CASE WHEN same THEN least(12, length(ka), length(kb)) ELSE 0 END + {W.lcs_sql('ta', 'tb')}))
+  SELECT ka, kb, 100.0 * (1 - (total - 2 * (CASE WHEN same THEN least(12, length(ka), length(kb)) ELSE 0 END + ({W.lcs_sql('ta', 'tb')})))
          / CAST(total AS DOUBLE)) AS score FROM tails),
 {source} AS (
   SELECT name, best, score FROM (
