@@ -22,7 +22,7 @@ from firmweave.functions.text import comparable, token_sort_key, tokens
 from firmweave.storage import cut_lineage
 
 # A key with more index rows than this is refined by a further segment, at most so often.
-REFINE_ROWS = 1_000
+REFINE_ROWS = 2_000
 REFINE_DEPTH = 6
 
 

@@ -70,6 +70,7 @@ def _dot(terms: Column, weights: Column) -> Column:
 
 def cosine_pairs(vectors: DataFrame, min_cosine: float, refine_rows: int = REFINE_ROWS) -> DataFrame:
     """Every pair (a, b, cosine), a < b, with cosine >= ``min_cosine`` among ``gram_vectors``."""
+    vectors = cut_lineage(vectors, spread=True)
     size = F.size("terms")
     tails = vectors.select(
         "name",
@@ -158,6 +159,6 @@ def hybrid_pairs(
     lexical: float = LEXICAL,
 ) -> DataFrame:
     """Name pairs (a, b) that are near in vector space and lexically."""
-    close = cosine_pairs(cut_lineage(gram_vectors(names, column)), min_cosine).filter(F.col("cosine") > min_cosine)
+    close = cosine_pairs(gram_vectors(names, column), min_cosine).filter(F.col("cosine") > min_cosine)
     ranked = nearest(close, k, "cosine", descending=True)
     return lexically_close(oriented(ranked), lexical)

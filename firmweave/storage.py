@@ -41,7 +41,7 @@ def cut_lineage(df: DataFrame, spread: bool = False) -> DataFrame:
     much work is done on.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     if spread:
         df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     df.write.parquet(path)
