@@ -106,8 +106,8 @@ def core_name(c: Column | str) -> Column:
     name = strip(F.lower(F.coalesce(_col(c), F.lit(""))))
     name = F.replace(name, F.lit("̇"), F.lit(""))  # left by lower('İ')
     for tag in DIVISION_TAGS:
-        name = F.regexp_replace(name, f"(?iU){tag}", "")
-    tail = rf"(?iU){_TRAILING}(?:\b(?:{LEGAL_SUFFIXES})\b{_TRAILING})*$"
+        name = F.regexp_replace(name, f"(?U){tag}", "")
+    tail = rf"(?U){_TRAILING}(?:\b(?:{LEGAL_SUFFIXES})\b{_TRAILING})*$"
     return F.upper(strip(F.regexp_replace(name, tail, "")))
 
 

@@ -10,7 +10,7 @@ from firmweave.operators.components import (
 )
 from firmweave.operators.fuzzy import best_other_names
 from firmweave.operators.golden import refine_names, refined_entities
-from firmweave.operators.relational import lookup
+from firmweave.operators.relational import HOT_KEY_ROWS, salted_join
 from firmweave.operators.vectors import LEXICAL, MIN_COSINE, NEIGHBOURS, hybrid_pairs
 from firmweave.storage import cut_lineage
 
@@ -20,8 +20,7 @@ MIN_CORE_LENGTH = 3
 
 def name_node(column: str = "company_name") -> Column:
     """Node of a firm in the first-pass graph: its core name, or the full name if no core is left."""
-    core = core_name(column)
-    return F.when(core != "", core).otherwise(F.coalesce(F.col(column), F.lit("")))
+    return F.coalesce(F.nullif(core_name(column), F.lit("")), F.col(column), F.lit(""))
 
 
 def cluster_firms(
@@ -35,7 +34,7 @@ def cluster_firms(
     pairs, for example with ``knn.hybrid_vector_pairs`` on a user's vectors.
     """
     firms = firms.withColumn("unique_id", F.col("unique_id").cast("string")).withColumn("node", name_node())
-    nodes = cut_lineage(firms.groupBy("node").agg(F.min("unique_id").alias("least")))
+    nodes = name_nodes(firms)
     if pairs is None:
         cores = nodes.filter(core_name("node") != "").select(F.col("node").alias("name"))
         pairs = hybrid_pairs(cores, k=k, min_cosine=min_cosine, lexical=lexical)
@@ -47,7 +46,18 @@ def cluster_firms(
         found.join(least, "component").join(labels, "least")
         .select("node", F.col("label").alias("cluster_id"))
     )
-    return lookup(firms, cluster_of, "node", "inner").drop("node")
+    return salted_join(firms, cluster_of, hot_nodes(nodes), "node", "inner").drop("node")
+
+
+def name_nodes(firms: DataFrame) -> DataFrame:
+    """Table (node, least, n): smallest firm id and number of firms of each name node."""
+    return cut_lineage(
+        firms.groupBy("node").agg(F.min("unique_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    )
+
+
+def hot_nodes(nodes: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    return nodes.filter(F.col("n") >= hot_rows).select("node", F.ceil(F.col("n") / hot_rows).alias("salts"))
 
 
 def alias_variants(entities: DataFrame) -> DataFrame:

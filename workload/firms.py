@@ -9,8 +9,8 @@ from firmweave.functions.text import (
 )
 from firmweave.operators.components import numbered_labels
 from firmweave.operators.golden import first_pass_entities
-from firmweave.operators.relational import lookup
-from firmweave.operators.resolve import name_node
+from firmweave.operators.relational import salted_join
+from firmweave.operators.resolve import hot_nodes, name_node, name_nodes
 from firmweave.operators.standardize import standardize
 from firmweave.sources.readers import reference_table
 from firmweave.storage import cut_lineage
@@ -57,10 +57,10 @@ def firms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def core_clusters(firms: DataFrame) -> DataFrame:
     """Firms with a cluster for each core name, numbered by the smallest firm id."""
     named = firms.withColumn("node", name_node())
-    least = named.groupBy("node").agg(F.min("unique_id").alias("least"))
-    labels = numbered_labels(least, "least", "v_")
-    clusters = least.join(labels, "least").select("node", F.col("label").alias("cluster_id"))
-    return lookup(named, clusters, "node", "inner").drop("node")
+    nodes = name_nodes(named)
+    labels = numbered_labels(nodes, "least", "v_")
+    clusters = nodes.join(labels, "least").select("node", F.col("label").alias("cluster_id"))
+    return salted_join(named, clusters, hot_nodes(nodes), "node", "inner").drop("node")
 
 
 def core_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
