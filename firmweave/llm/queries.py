@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from public_tokenizers import PATTERN, path
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import simhash_dedup
+from firmweave.llm import bpe, simhash_dedup
 from workload.registry import register, table
 
 
 @register("op1_simhash_dedup")
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4)
+
+
+@register("op8_byte_pair_encoding")
+def op8_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = bpe.share(spark, bpe.BytePairTokenizer.from_file(path("byte_bpe_50k.tiktoken"), PATTERN))
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), shared, keep=["doc_id"])
+    return bpe.decode_ids(encoded, shared).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
