@@ -36,10 +36,10 @@ LONG_TEXT = 1_000_000
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _S = "\t-\r \x85\xa0"
-_BEYOND = re.compile("[^\x00-ɏ]")
+BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 
 
-def _latin(pattern: str) -> re.Pattern:
+def latin_pattern(pattern: str) -> re.Pattern:
     """``pattern`` for the standard library, right for texts below U+0250."""
     for name, chars in ((r"[^\s\p{L}\p{N}]", f"[^{_S}{_L}{_N}]"), (r"\p{L}", f"[{_L}]"), (r"\p{N}", f"[{_N}]"), (r"\S", f"[^{_S}]"), (r"\s", f"[{_S}]")):
         pattern = pattern.replace(name, chars)
@@ -153,9 +153,9 @@ class BytePairTokenizer:
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
         if self._prepared is None:
-            self._prepared = _latin(self.pattern), regex.compile(self.pattern), _Pieces(self)
+            self._prepared = latin_pattern(self.pattern), regex.compile(self.pattern), _Pieces(self)
         latin, full, known = self._prepared
-        split = full if _BEYOND.search(text) else latin
+        split = full if BEYOND_LATIN.search(text) else latin
         if len(text) < LONG_TEXT:
             return b"".join(map(known.__getitem__, split.findall(text)))
         return b"".join(known[m.group()] for m in split.finditer(text))

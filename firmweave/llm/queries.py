@@ -5,7 +5,8 @@ from __future__ import annotations
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, simhash_dedup
+from firmweave.llm import bpe, simhash_dedup, token_files
+from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
 
@@ -22,3 +23,14 @@ def op8_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(path("byte_bpe_50k.json"), encoding="utf-8") as definition:
+        encoder = spark.sparkContext.broadcast(token_files.Encoder(definition.read(), PATTERN))
+    files = scratch_path(spark, "sequences")
+    token_files.write_sequences(table(spark, sf_dir, "documents"), encoder, files, end_id=0)
+    return token_files.read_documents(spark, files).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
