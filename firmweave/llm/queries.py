@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, simhash_dedup, token_files
+from firmweave.llm import bpe, simhash_dedup, token_files, warc_zip
 from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
@@ -34,3 +34,16 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, files).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@register("op5_warc_zip")
+def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = scratch_path(spark, "archives")
+    warc_zip.write_archives(table(spark, sf_dir, "pages"), archives)
+    whole = F.col("record_type") == "response"
+    return warc_zip.read_archives(spark, archives).select(
+        "page_id",
+        F.when(whole, F.octet_length("payload").cast("bigint")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha1("payload")).otherwise(F.col("declared_digest")).alias("payload_digest"),
+        "record_type", "refers_to",
+    )
