@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, simhash_dedup, token_files, warc_zip
+from firmweave.llm import bpe, decontaminate, simhash_dedup, token_files, warc_zip
 from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
@@ -47,3 +47,33 @@ def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(whole, F.sha1("payload")).otherwise(F.col("declared_digest")).alias("payload_digest"),
         "record_type", "refers_to",
     )
+
+
+def _leaks_sql() -> str:
+    masks = decontaminate.MASKS
+    span, window = decontaminate.SPAN, decontaminate.WINDOW
+    words = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    at = " UNION ALL ".join(
+        f"SELECT {i} AS mask, k.*, [" + ", ".join(f"t[p + {o + 1}]" for o in m) + "] AS seed FROM k" for i, m in enumerate(masks)
+    )
+    doc_at, item_at = (at.replace(" FROM k", f" FROM {x}").replace("k.*", f"{x}.* EXCLUDE (t)") for x in ("dp", "ip"))
+    return f"""
+    WITH d AS (SELECT DISTINCT doc_id, text, {words} AS t FROM documents WHERE text IS NOT NULL),
+    i AS (SELECT min(item_id) AS item_id, t FROM (SELECT item_id, {words} AS t FROM benchmark) WHERE len(t) >= {span} GROUP BY t),
+    dp AS (SELECT doc_id, text, t, unnest(range(0, greatest(len(t) - {span - 1}, 0))) AS p FROM d),
+    ip AS (SELECT item_id, t, unnest(range(0, greatest(len(t) - {span - 1}, 0))) AS p FROM i),
+    ds AS ({doc_at}), its AS ({item_at}),
+    h AS (SELECT DISTINCT ds.doc_id, ds.text, its.item_id, ds.p - its.p AS shift FROM ds JOIN its USING (mask, seed)),
+    w AS (SELECT h.*, d.t AS dt, i.t AS it, least(len(i.t), {window}) AS compared,
+            unnest(range(greatest(0, -shift), least(len(i.t), len(d.t) - shift) - least(len(i.t), {window}) + 1)) AS s
+          FROM h JOIN d ON d.doc_id IS NOT DISTINCT FROM h.doc_id AND d.text = h.text JOIN i USING (item_id)),
+    m AS (SELECT doc_id, text, item_id, compared, s + shift AS start,
+            len(list_filter(range(1, compared + 1), lambda x: it[s + x] = dt[s + shift + x])) AS matched FROM w)
+    SELECT doc_id, item_id, max(matched)::INT AS matched, arg_max(start, matched * 1000000000 - start)::INT AS start, any_value(compared)::INT AS compared
+    FROM m WHERE matched >= ceil(compared * {decontaminate.AGREEMENT}) GROUP BY doc_id, text, item_id"""
+
+
+@register("op10_decontaminate", _leaks_sql())
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "start", "matched", "compared")
