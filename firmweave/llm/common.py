@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import uuid
 
@@ -18,6 +19,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """At most ``rows`` rows in an Arrow batch while a job runs: whole texts and files can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_files(df: DataFrame, column: str, path: str) -> None:
     """One file for each row of binary ``column``: its bytes and one line feed.
 

@@ -10,6 +10,7 @@ last sequence is padding, where the mask is false. Documents never cross files.
 from __future__ import annotations
 
 import json
+import os
 import sys
 from collections.abc import Iterator
 
@@ -20,15 +21,15 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from firmweave.llm.bpe import BEYOND_LATIN, latin_pattern
-from firmweave.llm.common import read_files, write_files
+from firmweave.llm.common import arrow_rows, read_files, write_files
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEQUENCE = 2048
 # ids after which a file is closed at the next end of a document
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 BATCH_SEQUENCES = 256
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 
 
 class Encoder:
@@ -61,6 +62,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         if self._ready is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
             by_piece = self.pattern is not None and self.splits_at(self.pattern)
             self._ready = self._load(), {}, latin_pattern(self.pattern) if by_piece else None
         tokenizer, known, split = self._ready
@@ -187,7 +189,8 @@ def write_sequences(
     used = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = used.repartitionByRange(n, "key").sortWithinPartitions("key", F.xxhash64("text"))
-    write_files(ordered.mapInArrow(pack, "content binary"), "content", path)
+    with arrow_rows(docs.sparkSession, 500):
+        write_files(ordered.mapInArrow(pack, "content binary"), "content", path)
 
 
 def read_documents(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
