@@ -53,16 +53,13 @@ def shingle_spans(text: bytes, words: int) -> tuple[bytes, list[int], list[int]]
 def fingerprint(text: bytes | None, words: int = 4) -> int:
     """Bit i is set if it is set in more than half of the shingles' XXH64 values; 0 without words."""
     set_in = np.zeros(64, np.int64)
-    digest = xxhash.xxh64_intdigest
+    digest = xxhash.xxh64_digest
     joined, starts, ends = shingle_spans(text or b"", words)
     for at in range(0, len(starts), BLOCK_SHINGLES):
         spans = zip(starts[at : at + BLOCK_SHINGLES], ends[at : at + BLOCK_SHINGLES])
-        hashes = np.array([digest(joined[s:e], 42) for s, e in spans], np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        # sums of up to 255 rows fit in a byte
-        parts = np.add.reduceat(bits, np.arange(0, len(hashes), 255), axis=0, dtype=np.uint8)
-        set_in += parts.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * set_in > len(starts), bitorder="little").view(np.uint64)[0])
+        digests = np.frombuffer(b"".join([digest(joined[s:e], 42) for s, e in spans]), np.uint8)
+        set_in += np.unpackbits(digests).reshape(-1, 64).sum(axis=0, dtype=np.uint32)  # highest bit first
+    return int.from_bytes(np.packbits(2 * set_in > len(starts)).tobytes(), "big")
 
 
 def with_fingerprint(df: DataFrame, text: str = "text", words: int = 4, out: str = "fingerprint") -> DataFrame:
