@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, decontaminate, simhash_dedup, token_files, warc_zip
+from firmweave.llm import bpe, decontaminate, line_dedup, simhash_dedup, token_files, warc_zip
 from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
@@ -77,3 +77,9 @@ def _leaks_sql() -> str:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.select("doc_id", "item_id", "start", "matched", "compared")
+
+
+@register("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated(docs)
