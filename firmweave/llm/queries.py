@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, decontaminate, line_dedup, simhash_dedup, token_files, warc_zip
+from firmweave.llm import bpe, decontaminate, language_id, line_dedup, simhash_dedup, token_files, warc_zip
 from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
@@ -83,3 +83,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_repeated(docs)
+
+
+@register("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    model = language_id.LanguageModel.learn(docs.filter("NOT held_out"))
+    found = language_id.identify(docs, model, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
