@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, decontaminate, language_id, line_dedup, simhash_dedup, token_files, warc_zip
+from firmweave.llm import bpe, decontaminate, language_id, line_dedup, simhash_dedup, token_files, vector_search, warc_zip
 from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
@@ -92,3 +92,18 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.LanguageModel.learn(docs.filter("NOT held_out"))
     found = language_id.identify(docs, model, keep=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+_NEAREST_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@register("op4_vector_search", _NEAREST_SQL)
+def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), every=100, k=10)
