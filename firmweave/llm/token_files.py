@@ -9,6 +9,7 @@ last sequence is padding, where the mask is false. Documents never cross files.
 
 from __future__ import annotations
 
+import array
 import json
 import os
 import sys
@@ -20,7 +21,7 @@ import tokenizers
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from firmweave.llm.bpe import BEYOND_LATIN, latin_pattern
+from firmweave.llm.bpe import BEYOND_LATIN, LONG_TEXT, latin_pattern
 from firmweave.llm.common import arrow_rows, read_files, write_files
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,12 +33,34 @@ BATCH_SEQUENCES = 256
 REMEMBERED = 400_000
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write each byte as: printable Latin-1 bytes as they are, others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+class _Pieces(dict):
+    """Piece -> its ids as bytes, asked of the library's BPE model at first sight."""
+
+    def __init__(self, model, code: str):
+        self.model, self.code = model, code
+        self.letters = dict(enumerate(_byte_letters()))
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        ids = self[piece] = array.array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return ids
+
+
 class Encoder:
     """Whole texts to ids by the ``tokenizers`` library; strings of special tokens are ordinary text.
 
     A tokenizer that splits at the byte-level pattern encodes each piece by itself, so
-    the library is asked once for each new piece and its answers are remembered
-    (bounded). Other tokenizers get the whole text.
+    the library's model is asked once for each new piece and its answers are remembered
+    (bounded). Other tokenizers, and texts beyond Latin letters, get the whole text.
     """
 
     def __init__(self, definition: str, pattern: str | None = None):
@@ -61,20 +84,19 @@ class Encoder:
         return plain and not d.get("normalizer") and d["model"]["type"] == "BPE" and pattern == self.pattern
 
     def encode(self, text: str) -> bytes:
+        """The text's ids as unsigned integers of ``dtype``."""
+        code = "H" if self.dtype.itemsize == 2 else "I"
         if self._ready is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
             by_piece = self.pattern is not None and self.splits_at(self.pattern)
-            self._ready = self._load(), {}, latin_pattern(self.pattern) if by_piece else None
+            tokenizer = self._load()
+            self._ready = tokenizer, _Pieces(tokenizer.model, code), latin_pattern(self.pattern) if by_piece else None
         tokenizer, known, split = self._ready
         if split is None or BEYOND_LATIN.search(text):
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(known) > REMEMBERED:
-            known.clear()
-        pieces = split.findall(text)
-        new = list({p for p in pieces if p not in known})
-        for piece, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = np.array(e.ids, self.dtype).tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+            return array.array(code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(text) <= LONG_TEXT:
+            return b"".join(map(known.__getitem__, split.findall(text)))
+        return b"".join(known[m.group()] for m in split.finditer(text))
 
 
 class _Shard:

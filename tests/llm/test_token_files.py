@@ -7,6 +7,7 @@ import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tokenizers
+from hypothesis import given, settings, strategies as st
 
 from firmweave.llm import token_files as F
 from firmweave.llm.common import read_files, scratch_path
@@ -25,18 +26,30 @@ def known(definition):
     return t
 
 
+ENCODERS = {}
+
+
 def test_encoder_equals_the_library(definition, known, monkeypatch):
     texts = ["", "Hello  there's 1st\n\n x", "été où", "日本 ɐ", "<|endoftext|>a", "a\x1cb \xa0 c" * 30, "y" * 3000]
     for remembered in (500_000, 2):
         monkeypatch.setattr(F, "REMEMBERED", remembered)
         e = F.Encoder(definition, P.PATTERN)
         assert e.dtype == np.uint16 and e.splits_at(P.PATTERN)
-        for t in texts * 2:
-            assert np.frombuffer(e.encode(t), e.dtype).tolist() == known.encode(t, add_special_tokens=False).ids
+        for limit in (500_000, 50):
+            monkeypatch.setattr(F, "LONG_TEXT", limit)
+            for t in texts * 2:
+                assert np.frombuffer(e.encode(t), e.dtype).tolist() == known.encode(t, add_special_tokens=False).ids
     whole = F.Encoder(definition)
     assert np.frombuffer(whole.encode(texts[1]), "<u2").tolist() == known.encode(texts[1], add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x250), max_size=60))
+def test_any_latin_text(definition, known, text):
+    e = ENCODERS.setdefault("one", F.Encoder(definition, P.PATTERN))
+    assert np.frombuffer(e.encode(text), e.dtype).tolist() == known.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("file_ids", [4_000_000, 40])
 def test_round_trip(spark, definition, known, file_ids):
     rows = [(i, f"text number {i} " * (i % 17)) for i in range(60, 0, -1)] + [(7, "twice"), (7, "twice"), (None, None), (80, "w " * 5000), (81, None)]
