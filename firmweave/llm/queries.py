@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, decontaminate, language_id, line_dedup, simhash_dedup, token_files, vector_search, warc_zip
+from firmweave.llm import bpe, decontaminate, language_id, line_dedup, quality, simhash_dedup, token_files, vector_search, warc_zip
 from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
@@ -107,3 +107,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 @register("op4_vector_search", _NEAREST_SQL)
 def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+@register("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.QualityModel.learn(docs)
+    scored = quality.score_quality(docs, model, keep=["doc_id"])
+    return scored.withColumn("keep", F.col("quality") >= quality.LEAST)
