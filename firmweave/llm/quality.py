@@ -29,6 +29,7 @@ WINDOW = 100  # words that are looked at together for their variety
 REPEATS = [DIM - 2, DIM - 1]
 BLOCK_CHARS = 1_000_000
 GOOD, BAD, NONE = 1, 0, 2
+FALSE_ALARMS = 0.005  # share of good documents that a labeller may call bad
 
 # classes of characters below U+0250; above it, letters are taken as lower case and the rest as itself
 _UPPER, _LOWER, _DIGIT, _SPACE = 1, 2, 3, 4
@@ -136,7 +137,8 @@ def fit_labellers(counts: dict[int, int], steps: int = 200) -> dict[int, float]:
     """Probability of being good for each pattern of votes, from the patterns' counts.
 
     A labeller is a table of how often it votes good, bad or nothing on good and on bad
-    documents. The prior says that it is right more often than wrong, so the classes cannot change names.
+    documents. Each looks for one kind of bad text, so it says little when it finds none, but it is built to call a
+    good document bad once in 1 / FALSE_ALARMS at most; held to that, the classes cannot change names.
     """
     if not counts:
         return {}
@@ -147,11 +149,13 @@ def fit_labellers(counts: dict[int, int], steps: int = 200) -> dict[int, float]:
     # a document that any labeller calls bad starts as doubtful
     good = np.where((v == BAD).any(axis=1), 0.3, 0.95)
     prior = np.zeros((2, 3))
-    prior[GOOD], prior[BAD] = (0.5, 8.0, 1.5), (4.0, 4.0, 2.0)  # of votes bad, good, nothing
+    prior[GOOD], prior[BAD] = (0.1, 8.0, 1.9), (2.0, 7.0, 1.0)  # of votes bad, good, nothing
     for _ in range(steps):
         weight = np.stack([n * (1 - good), n * good])
         table = np.einsum("cp,plv->clv", weight, one_hot) + prior[:, None, :]
         table /= table.sum(axis=2, keepdims=True)
+        table[GOOD, :, BAD] = np.minimum(table[GOOD, :, BAD], FALSE_ALARMS)
+        table /= table.sum(axis=2, keepdims=True)
         share = (weight.sum(axis=1) + 1) / (n.sum() + 2)
         score = np.log(share)[:, None] + np.einsum("clv,plv->cp", np.log(table), one_hot)
         updated = 1 / (1 + np.exp(np.clip(score[BAD] - score[GOOD], -500, 500)))

@@ -15,8 +15,9 @@ SMALL = "/root/testdata/sf0.001"
 def test_labellers_are_recovered():
     rng = np.random.default_rng(3)
     good = rng.random(20_000) < 0.8
-    right = [0.97, 0.95, 0.9, 0.9, 0.85, 0.97, 0.9, 0.8, 0.95, 0.9]
-    votes = np.stack([np.where(rng.random(len(good)) < 0.1, Q.NONE, np.where(rng.random(len(good)) < r, good, ~good)) for r in right], axis=1)
+    found = [0.7, 0.5, 0.4, 0.6, 0.3, 0.7, 0.5, 0.2, 0.4, 0.5]  # of the bad ones, by each labeller
+    says_bad = [np.where(good, rng.random(len(good)) < 0.003, rng.random(len(good)) < f) for f in found]
+    votes = np.stack([np.where(rng.random(len(good)) < 0.1, Q.NONE, np.where(b, Q.BAD, Q.GOOD)) for b in says_bad], axis=1)
     patterns = [Q.pattern_of(v) for v in votes.tolist()]
     counts = {p: patterns.count(p) for p in set(patterns)}
     posterior = Q.fit_labellers(counts)
