@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -115,3 +116,6 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.QualityModel.learn(docs)
     scored = quality.score_quality(docs, model, keep=["doc_id"])
     return scored.withColumn("keep", F.col("quality") >= quality.LEAST)
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
