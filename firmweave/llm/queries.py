@@ -6,7 +6,7 @@ import corpus_pipeline
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmweave.llm import bpe, decontaminate, language_id, line_dedup, quality, simhash_dedup, token_files, vector_search, warc_zip
+from firmweave.llm import bpe, decontaminate, language_id, line_dedup, quality, simhash_dedup, substring_dedup, token_files, vector_search, warc_zip
 from firmweave.llm.common import scratch_path
 from workload.registry import register, table
 
@@ -119,3 +119,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
+@register("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents")).withColumnRenamed("other", "other_doc_id")
