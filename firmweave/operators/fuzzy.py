@@ -11,6 +11,7 @@ remainders of a matching pair are within the same budget.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -309,9 +310,10 @@ def weighted_matches(left: DataFrame, right: DataFrame, cutoff: float) -> DataFr
     lf = left.select("text", F.explode(F.array_distinct(forms)).alias("form"))
     rf = right.select("text", F.explode(F.array_distinct(forms)).alias("form"))
     # the plain budget is the widest, so one join serves all three forms
+    # rounded up, so that the budget only grows; the score decides in the end
     near = ratio_pairs(
         lf.select(F.col("form").alias("text")), rf.select(F.col("form").alias("text")),
-        num=round((100 - cutoff) * 100), den=10_000, strict=False,
+        num=math.ceil(round((100 - cutoff) * 1_000, 6)), den=100_000, strict=False,
     )
     pairs = (
         near.select(F.col("a").alias("fa"), F.col("b").alias("fb"))

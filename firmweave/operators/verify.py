@@ -53,9 +53,11 @@ def ingest_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
     Batches without a readable answer get default rows, one for each of their ids.
     """
     body = unfenced("text")
-    # an answer is a JSON array; anything else fails the batch
+    # an answer is one JSON array and nothing else: as the only field of an object, words after it make no JSON
+    whole = F.concat(F.lit('{"answers":'), body, F.lit("}"))
+    alone = body.startswith("[") & (F.size(F.json_object_keys(whole)) == 1)
     parsed = responses.select(
-        "batch_id", F.when(body.startswith("["), F.from_json(body, ANSWER)).alias("answers")
+        "batch_id", F.when(alone, F.from_json(whole, f"answers {ANSWER}")["answers"]).alias("answers")
     ).filter("answers is not null")
     answered = parsed.select(F.inline("answers")).filter("id is not null")
     failed = requests.join(parsed.select("batch_id").distinct(), "batch_id", "left_anti").select(

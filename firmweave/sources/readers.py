@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from firmweave.storage import exists, list_files
@@ -60,8 +62,25 @@ def read_jsonl(spark: SparkSession, paths: list[str], schema: T.StructType | Non
     return (reader.schema(schema) if schema is not None else reader).json(paths)
 
 
-def read_parquet(spark: SparkSession, paths: list[str], merge_schema: bool = False) -> DataFrame:
-    return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
+def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All files, united by column name; a column whose types cannot be merged is read as text."""
+    try:
+        # one job reads all footers; columns that only some files have are null elsewhere
+        return spark.read.option("mergeSchema", True).parquet(*paths)
+    except (PySparkException, Py4JJavaError):
+        groups: dict[str, tuple[T.StructType, list[str]]] = {}
+        for path in paths:
+            schema = spark.read.parquet(path).schema
+            groups.setdefault(schema.json(), (schema, []))[1].append(path)
+        kinds: dict[str, set[str]] = {}
+        for schema, _ in groups.values():
+            for f in schema:
+                kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+        mixed = {name for name, found in kinds.items() if len(found) > 1}
+        return _union([
+            spark.read.schema(schema).parquet(*members).withColumns({f.name: F.col(f.name).cast("string") for f in schema if f.name in mixed})
+            for schema, members in groups.values()
+        ])
 
 
 def raw_files(spark: SparkSession, raw_dir: str) -> dict[str, list[str]]:

@@ -64,6 +64,20 @@ def fingerprint(spark: SparkSession, paths: list[str], *settings: object) -> str
     return f"{row['n']:x}-{(row['x'] or 0) & (2**64 - 1):016x}-{zlib.crc32(repr(settings).encode()):08x}"
 
 
+def plan_text(df: DataFrame) -> str:
+    """The plan with its expression numbers made comparable, so another filter over the same files differs."""
+    return df._jdf.queryExecution().analyzed().canonicalized().toString()
+
+
+def content_digest(df: DataFrame) -> str:
+    """Row count and a digest of the rows in any order."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}) if df.columns else F.lit("")
+    found = df.agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(row)).alias("x"), F.sum(F.xxhash64(row, F.lit(1)).cast("decimal(38,0)")).alias("s")
+    ).first()
+    return f"{found['n']:x}-{found['x']}-{found['s']}"
+
+
 class StageTables:
     """Parquet tables of one run, each under a key of everything it was computed from.
 
@@ -77,11 +91,12 @@ class StageTables:
         self.reused: list[str] = []
 
     def depends_on(self, *inputs: object) -> None:
-        """Mix inputs into the key: folders or files (by metadata), DataFrames (by their files), settings."""
+        """Mix inputs into the key: folders or files (by metadata), DataFrames (by their files and plan, or their rows), settings."""
         for item in inputs:
             if isinstance(item, DataFrame):
                 files = item.inputFiles()
-                part = fingerprint(self.spark, files) if files else ""
+                # what is made of files is told by them and the plan over them, anything else by its rows
+                part = fingerprint(self.spark, files) + plan_text(item) if files else content_digest(item)
                 part += item.schema.simpleString()
             elif isinstance(item, str) and exists(self.spark, item):
                 part = fingerprint(self.spark, [item])

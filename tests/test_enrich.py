@@ -97,3 +97,12 @@ def test_master_and_serving(spark):
     (s,) = serve.stats(spark.createDataFrame([("a",), ("a",), ("b",)], "company_name string"), master).collect()
     assert (s.raw_rows, s.raw_names, s.clusters, s.domains, s.descriptions) == (3, 2, 5, 3, 1)
     assert [r.canonical_id for r in serve.top_entities(master, 2).collect()] == ["e2", "e1"]
+
+
+def test_words_after_the_array_fail_the_batch(spark):
+    requests = spark.createDataFrame([(i, ["x", "y"]) for i in range(5)], "batch_id bigint, ids array<string>")
+    one = '[{"id": "x", "verified_domain": "x.com", "description": "d", "is_automotive": true}]'
+    texts = [one + " trailing words", one + ' and ["y"]', one + ', "other": [1]', "```json\n" + one + "\n```", one + "]"]
+    responses = spark.createDataFrame(list(enumerate(texts)), "batch_id bigint, text string")
+    got = verify.ingest_responses(requests, responses).groupBy("verified_domain").count().collect()
+    assert {r.verified_domain: r["count"] for r in got} == {"x.com": 1, "Missing": 8}

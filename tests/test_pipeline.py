@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from firmweave.plans.pipeline import run_pipeline
+from firmweave.storage import StageTables
 
 
 def test_raw_files_to_master_and_resume(spark, tmp_path):
@@ -45,3 +46,16 @@ def test_raw_files_to_master_and_resume(spark, tmp_path):
     ).agg(F.to_json(F.collect_list("a")).alias("text")).select(F.lit(0).cast("bigint").alias("batch_id"), "text")
     answered = run_pipeline(spark, str(raw), out, references=[ref], bulk=ref, responses=answers)
     assert {(r.domain, r.description) for r in answered.collect()} == {("v.com", "text")}
+
+
+def test_stage_key_follows_rows_and_plans(spark, tmp_path):
+    def key(df):
+        tables = StageTables(spark, str(tmp_path / "s"))
+        tables.depends_on(df)
+        return tables.key
+
+    a, b = (spark.createDataFrame([(0, t)], "batch_id bigint, text string") for t in ("[]", "[1]"))
+    assert key(a) != key(b) and key(a) == key(spark.createDataFrame([(0, "[]")], "batch_id bigint, text string"))
+    a.union(b).write.parquet(str(tmp_path / "t"))
+    table = lambda: spark.read.parquet(str(tmp_path / "t"))
+    assert key(table().filter("text = '[]'")) == key(table().filter("text = '[]'")) != key(table().filter("text = '[1]'"))

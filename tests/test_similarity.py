@@ -121,3 +121,12 @@ def test_best_other_names(spark):
         ("koza bilisim", "bilisim koza"), ("bilisim koza", "koza bilisim"),
         ("old bolt works", "cold bolt works"), ("cold bolt works", "old bolt works"),
     }
+
+
+def test_cut_off_between_two_decimals(spark):
+    from firmweave.operators.fuzzy import weighted_matches
+
+    left = spark.createDataFrame([("abcde",)], "text string")
+    right = spark.createDataFrame([("abcdef",)], "text string")
+    (row,) = weighted_matches(left, right, 90.905).collect()
+    assert round(row.score, 3) == 90.909

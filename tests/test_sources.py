@@ -82,3 +82,20 @@ def test_reference_and_domain_columns(spark):
     assert R.seed_domain(df).first().domain == "d"
     assert R.seed_domain(df.select("name")).first().domain is None
     assert R.seed_domain(df.withColumn("domain", F.lit("own"))).first().domain == "own"
+
+
+def parquet(spark, folder, name, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / f"_{name}"))
+    (folder / f"{name}.parquet").write_bytes(next((folder / f"_{name}").glob("*.parquet")).read_bytes())
+
+
+def test_parquet_files_are_united_by_name(spark, tmp_path):
+    parquet(spark, tmp_path, "a", [("Foo", "foo.com")], "name string, url string")
+    parquet(spark, tmp_path, "b", [("Bar", "Ulm")], "company_name string, city string")
+    df = R.read_raw(spark, str(tmp_path))["parquet"]
+    assert sorted(map(tuple, df.select("name", "url", "company_name", "city").collect()), key=str) == sorted(
+        [("Foo", "foo.com", None, None), (None, None, "Bar", "Ulm")], key=str
+    )
+    parquet(spark, tmp_path, "c", [("Baz", 7)], "name string, city int")
+    mixed = R.read_raw(spark, str(tmp_path))["parquet"]
+    assert sorted(r.city or "" for r in mixed.collect()) == ["", "7", "Ulm"]
