@@ -8,16 +8,10 @@ import __spark_entry__ as entry
 from workload.compare import canonical, sql_rows
 
 SMALL = "/root/testdata/sf0.001"
-# the rest is compared with `python -m workload.compare <folder>`
-CHECKED = [
-    "standardize_firms", "lenient_casts", "core_name", "clean_domain", "surrogate_key", "harmonize_union",
-    "golden_first_pass", "golden_serving", "token_sort_matches", "hybrid_matches", "knn_pairs",
-    "second_pass_entities", "fuzzy_domain_lookup", "domain_unify", "verify_ingest", "stats",
-]
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables are not here")
-@pytest.mark.parametrize("name", CHECKED)
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, name):
     df = entry.queries()[name](spark, SMALL)
     columns, expected, _ = sql_rows(SMALL, entry.oracle_sql()[name])
