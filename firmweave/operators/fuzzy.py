@@ -25,6 +25,8 @@ from firmweave.storage import cut_lineage
 # A key with more index rows than this is refined by a further segment, at most so often.
 REFINE_ROWS = 2_000
 REFINE_DEPTH = 6
+# Pairs with a budget up to this meet by deletions; a text of n characters has about n ** 3 / 6 of three.
+SMALL_BUDGET = 3
 
 
 def _segment_start(i: Column, n: Column, m: Column) -> Column:
@@ -99,6 +101,63 @@ def _length_limits(n: Column, num: int, den: int) -> tuple[Column, Column]:
     )
 
 
+def _deletions(text: Column, times: int) -> Column:
+    """All texts that are left after ``times`` characters are taken out."""
+    left = F.array(text)
+    for _ in range(times):
+        left = F.array_distinct(F.flatten(F.transform(left, lambda t: F.transform(
+            F.sequence(F.lit(1), F.length(t)),
+            lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))),
+        ))))
+    return left
+
+
+def _near(texts: DataFrame, num: int, den: int, strict: bool, two_sided: bool) -> DataFrame:
+    """Pairs (a, b) with a budget up to SMALL_BUDGET that are within it, length(a) <= length(b). Input: text, side.
+
+    Texts at indel distance d have a common rest after d deletions, shared out by their
+    lengths. So pairs meet at such a rest, and all that meet are within the budget.
+    """
+    longest = (SMALL_BUDGET + 2) * den // max(num, 1) + 1  # beyond it every budget is larger
+    sized = texts.withColumn("n", F.length("text")).filter(F.col("n") <= longest)
+    lengths = sorted(r["n"] for r in sized.select("n").distinct().collect())
+    sides: dict[tuple[str, int], list[tuple[int, int, int]]] = {}
+    for low in lengths:
+        for high in (x for x in lengths if x >= low):
+            top = ((low + high) * num - (1 if strict else 0)) // den
+            budget, gap = top - (low + high - top) % 2, high - low
+            if gap <= budget <= SMALL_BUDGET:
+                sides.setdefault(("a", (budget - gap) // 2), []).append((low, low, high))
+                sides.setdefault(("b", (budget + gap) // 2), []).append((high, low, high))
+
+    def rests(name: str) -> DataFrame | None:
+        parts = []
+        for (role, times), sizes in sides.items():
+            if role == name:
+                partners = F.create_map(*[
+                    x for n in {z[0] for z in sizes}
+                    for x in (F.lit(n), F.array(*[F.struct(F.lit(low).alias("low"), F.lit(high).alias("high")) for m, low, high in sizes if m == n]))
+                ])
+                reached = sized.withColumn("partners", F.try_element_at(partners, F.col("n"))).filter("partners IS NOT NULL")
+                parts.append(
+                    reached.withColumn("rest", F.explode(_deletions(F.col("text"), times)))
+                    .withColumn("pair", F.explode("partners"))
+                    .select("rest", "pair.low", "pair.high", F.col("text").alias(name), F.col("side").alias(f"side_{name}"))
+                )
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    left, right = rests("a"), rests("b")
+    columns = ["a", "b", *(["side_a"] if two_sided else [])]
+    if left is None or right is None:
+        return texts.select(F.col("text").alias("a"), F.col("text").alias("b"), F.col("side").alias("side_a")).select(*columns).limit(0)
+    longer = F.col("high") > F.col("low")
+    if two_sided:
+        once = (F.col("side_a") != F.col("side_b")) & (longer | (F.col("side_a") == 0))
+    else:
+        once = longer | (F.col("a") < F.col("b"))
+    return left.join(right, ["rest", "low", "high"]).filter(once).select(*columns)
+
+
 def _candidates(
     texts: DataFrame, num: int, den: int, strict: bool, two_sided: bool, refine_rows: int, depth: int
 ) -> DataFrame:
@@ -111,7 +170,7 @@ def _candidates(
                 F.sequence(n, F.greatest(n, longest)),
                 lambda l: indel_budget(n + l, num, den, strict) + 1,
             ),
-            lambda m: m > 0,
+            lambda m: m > SMALL_BUDGET + 1,
         )
     )
     index = _index(
@@ -132,7 +191,7 @@ def _candidates(
             (indel_budget(F.col("size") + F.col("n"), num, den, strict) + 1).alias("m"),
             F.col("n").cast("bigint").alias("base"),
         )
-        .filter("m > gap and m > 0")
+        .filter((F.col("m") > F.col("gap")) & (F.col("m") > SMALL_BUDGET + 1))
     )
     found = []
     for level in range(depth):
@@ -157,7 +216,8 @@ def _candidates(
         probe = cut_lineage(
             _probe(probe.join(crowded, "key", "left_semi").select(*keep, "gap")), spread=True
         )
-    return reduce(DataFrame.unionByName, found).distinct()
+    # of large budgets; small ones meet by deletions, which common segments do not crowd
+    return reduce(DataFrame.unionByName, [*found, _near(texts, num, den, strict, two_sided)]).distinct()
 
 
 def _join_keys(
