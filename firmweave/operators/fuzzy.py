@@ -12,6 +12,7 @@ remainders of a matching pair are within the same budget.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -353,9 +354,14 @@ def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame
     )
 
 
-def weighted_matches(left: DataFrame, right: DataFrame, cutoff: float) -> DataFrame:
+def weighted_matches(
+    left: DataFrame, right: DataFrame, cutoff: float, scorer: Callable[[Column, Column], Column] = weighted_score
+) -> DataFrame:
     """All pairs (a, b, score) of comparable texts with weighted ratio >= ``cutoff`` (above 90).
 
+    Another ``scorer`` of two text columns (0 to 100) is asked about all pairs whose weighted ratio may reach
+    the cut-off, so it should not score a pair higher than that ratio.
+
     ``left`` and ``right`` have one column ``text``. Beyond the length limit no
     score exceeds 90, so candidates are: plain ratio, token-sort ratio on sorted
     tokens, and shared rare tokens for the token-set score.
@@ -389,12 +395,14 @@ def weighted_matches(left: DataFrame, right: DataFrame, cutoff: float) -> DataFr
         )
     return (
         pairs.distinct()
-        .withColumn("score", weighted_score(F.col("a"), F.col("b")))
+        .withColumn("score", scorer(F.col("a"), F.col("b")))
         .filter(F.col("score") >= cutoff)
     )
 
 
-def best_reference(names: DataFrame, reference: DataFrame, cutoff: float = 92) -> DataFrame:
+def best_reference(
+    names: DataFrame, reference: DataFrame, cutoff: float = 92, scorer: Callable[[Column, Column], Column] = weighted_score
+) -> DataFrame:
     """Best reference row for each name: (name, ref_name, ref_domain, score).
 
     ``names`` has column ``name``; ``reference`` has ref_name, ref_domain.
@@ -406,7 +414,7 @@ def best_reference(names: DataFrame, reference: DataFrame, cutoff: float = 92) -
         .groupBy("b")
         .agg(F.min(F.struct("ref_name", "ref_domain")).alias("ref"))
     )
-    scored = weighted_matches(n.select(F.col("a").alias("text")), r.select(F.col("b").alias("text")), cutoff)
+    scored = weighted_matches(n.select(F.col("a").alias("text")), r.select(F.col("b").alias("text")), cutoff, scorer)
     best = (
         scored.join(r, "b")
         .groupBy("a")

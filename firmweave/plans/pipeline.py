@@ -84,18 +84,23 @@ def run_pipeline(
     if bulk is not None:
         stages.depends_on(bulk)
         exact = current
-        current, _ = stages.table("bulk", lambda: enrich.clean_domains(enrich.fill_bulk(exact, bulk)))
+        current, seen = stages.table(
+            "bulk", lambda: enrich.clean_domains(enrich.fill_bulk(exact, bulk)), {"bulk_domains": _filled()}
+        )
+        metrics |= seen
     if references:
         stages.depends_on(cutoff)
         looked_up = current
-        current, _ = stages.table(
-            "fuzzy", lambda: enrich.fill_fuzzy(looked_up, enrich.automotive(reference), cutoff)
+        current, seen = stages.table(
+            "fuzzy", lambda: enrich.fill_fuzzy(looked_up, enrich.automotive(reference), cutoff), {"fuzzy_domains": _filled()}
         )
+        metrics |= seen
     filled, seen = stages.table(
         "filled", lambda: enrich.clean_domains(current), {"domains_filled": _filled()}
     )
     metrics |= seen
-    unified, _ = stages.table("unified", lambda: enrich.unify_domains(filled))
+    unified, seen = stages.table("unified", lambda: enrich.unify_domains(filled), {"unified_domains": _filled()})
+    metrics |= seen
     if url_status is not None:
         stages.depends_on(url_status)
 

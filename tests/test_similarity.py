@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from firmweave.functions import similarity as S
 from firmweave.operators import fuzzy
@@ -130,3 +131,14 @@ def test_cut_off_between_two_decimals(spark):
     right = spark.createDataFrame([("abcdef",)], "text string")
     (row,) = weighted_matches(left, right, 90.905).collect()
     assert round(row.score, 3) == 90.909
+
+
+def test_own_scorer(spark):
+    from firmweave.operators.fuzzy import best_reference
+
+    names = spark.createDataFrame([("acme motors",), ("other works",)], "name string")
+    reference = spark.createDataFrame([("ACME MOTORS", "acme.com"), ("Other Worksx", "o.com")], "ref_name string, ref_domain string")
+    same = lambda a, b: F.when(a == b, 99.0).otherwise(0.0)
+    (row,) = best_reference(names, reference, 92, same).collect()
+    assert (row.name, row.ref_domain, row.score) == ("acme motors", "acme.com", 99.0)
+    assert best_reference(names, reference, 92).count() == 2
