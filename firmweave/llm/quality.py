@@ -22,8 +22,8 @@ from firmweave.storage import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # documents that the scorer is fitted on at most, chosen by a hash; everything else covers all
-TRAIN_ROWS = 10_000
-DIM = 2048
+TRAIN_ROWS = 4_000
+DIM = 1024
 LEAST = 0.25  # a document is kept from this score on: a doubtful one stays
 WINDOW = 100  # words that are looked at together for their variety
 REPEATS = [DIM - 2, DIM - 1]
@@ -91,7 +91,7 @@ def measures(text: str) -> tuple[dict[str, float], np.ndarray]:
             k = kind.astype(np.uint64)
             mixed = (k[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (k[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)) ^ (k[2:] * np.uint64(0x165667B19E3779F9) + np.uint64(2))
             mixed *= np.uint64(0xFF51AFD7ED558CCD)
-            features += np.bincount((mixed >> np.uint64(53)).astype(np.int64), minlength=DIM)
+            features += np.bincount((mixed >> np.uint64(65 - DIM.bit_length())).astype(np.int64), minlength=DIM)
     for line in text.split("\n"):
         m["line_chars"] += len(line)
         h = hash(line) if line.strip() else None
@@ -165,13 +165,14 @@ def fit_labellers(counts: dict[int, int], steps: int = 200) -> dict[int, float]:
     return dict(zip(patterns, good.tolist()))
 
 
-def fit_scorer(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 8.0, decay: float = 1e-5) -> tuple[np.ndarray, float]:
+def fit_scorer(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 8.0, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and offset of a logistic scorer for soft labels, by gradient steps with momentum."""
-    w, b, pace, pace_b = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
+    x, y = x.astype(np.float32), y.astype(np.float32)
+    w, b, pace, pace_b = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(x.shape[1], np.float32), 0.0
     for _ in range(steps):
-        error = (1 / (1 + np.exp(-np.clip(x @ w + b, -500, 500))) - y) / len(y)
-        pace = 0.9 * pace - rate * (x.T @ error + decay * w)
-        pace_b = 0.9 * pace_b - 0.1 * rate * error.sum()
+        error = (1 / (1 + np.exp(-np.clip(x @ w + np.float32(b), -60, 60))) - y) / len(y)
+        pace = np.float32(0.9) * pace - np.float32(rate) * (error @ x + np.float32(decay) * w)
+        pace_b = 0.9 * pace_b - 0.1 * rate * float(error.sum())
         w, b = w + pace, b + pace_b
     return w, b
 
