@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import corpus_pipeline
 from public_tokenizers import PATTERN, path
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from firmweave.llm import bpe, decontaminate, language_id, line_dedup, quality, simhash_dedup, substring_dedup, token_files, vector_search, warc_zip
+from firmweave.llm import (
+    bpe, conversation_trie, decontaminate, language_id, line_dedup, quality, simhash_dedup, spelling, substring_dedup, token_files, vector_search, warc_zip,
+)
 from firmweave.llm.common import scratch_path
+from firmweave.storage import cut_lineage
 from workload.registry import register, table
 
 
@@ -124,3 +127,74 @@ register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 @register("op2_substring_dedup")
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents")).withColumnRenamed("other", "other_doc_id")
+
+
+def _rebuilt_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, ids): each conversation c begins with the first h turns of conversation c - c % 20, then goes on with
+    its own after its first h; h is crc32 of the decimal c, modulo 4. Equal turn numbers: role and text decide."""
+    own = conversations.filter("conv_id IS NOT NULL").select(
+        "conv_id", "turn", *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")])
+    by = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    placed = own.withColumn("at", F.row_number().over(by) - 1).withColumn("part", F.lit(1))
+    ids = own.select("conv_id").distinct()
+    borrowed = F.crc32(F.col("conv_id").cast("string")) % 4
+    heads = placed.filter("conv_id % 20 = 0 AND at < 3").withColumnRenamed("conv_id", "base")
+    takers = ids.select("conv_id", borrowed.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base")).filter("h > 0")
+    taken = heads.join(takers, "base").filter("at < h").withColumn("part", F.lit(0))
+    columns = ["conv_id", "part", "at", "role", "text"]
+    return placed.filter(F.col("at") >= borrowed).select(*columns).union(taken.select(*columns)), ids
+
+
+_CRC_TABLE = """SELECT list(c ORDER BY n) AS tab FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS n))"""
+
+
+def _crc_sql(digits: str) -> str:
+    """crc32 of a string of ASCII characters; ``tab`` is in scope."""
+    codes = f"list_transform(string_split({digits}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_TRIE_SQL = f"""
+WITH crc AS ({_CRC_TABLE}),
+own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS at
+        FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY at) AS turns FROM own GROUP BY conv_id),
+h AS (SELECT conv_id, turns, {_crc_sql("conv_id::VARCHAR")} % 4 AS h FROM o, crc),
+c AS (SELECT h.conv_id, list_concat(coalesce(b.turns, [])[:h.h], h.turns[h.h + 1:]) AS turns
+      FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 20),
+m AS (SELECT conv_id, len(turns) AS size, unnest(range(len(turns) + 1)) AS depth, turns FROM c),
+p AS (SELECT conv_id, size, depth, turns[:depth] AS path FROM m),
+n AS (SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+      FROM p GROUP BY path),
+k AS (SELECT n.*, (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND x.path[:n.depth] = n.path) AS n_children,
+        CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(path[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+      FROM n)
+SELECT a.conv_id::BIGINT AS conv_id, a.depth::BIGINT AS depth,
+  (SELECT u.conv_id FROM n u WHERE u.depth = a.depth - 1 AND u.path = a.path[:a.depth - 1])::BIGINT AS parent_conv_id,
+  any_value(a.n_convs)::BIGINT AS n_convs, any_value(a.n_children)::BIGINT AS n_children,
+  (count(*) FILTER (d.n_children = 0))::BIGINT AS n_leaves, sum(d.saved)::BIGINT AS saved_tokens, any_value(a.ends_sha256) AS ends_sha256
+FROM k a JOIN k d ON d.depth >= a.depth AND d.path[:a.depth] = a.path GROUP BY a.path, a.conv_id, a.depth"""
+
+
+@register("op12_conversation_trie", _TRIE_SQL)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations; rows without conv_id take no part, an empty table has no node."""
+    turns, ids = _rebuilt_conversations(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_nodes(turns, ids, order=["part", "at"])
+
+
+@register("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts with their forms; in one run of 97, chosen by crc32, a code point is left out. Null texts have no word, a null id is empty."""
+    text = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = table(spark, sf_dir, "documents").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(F.regexp_extract_all(text, F.lit("([a-zÀ-ÿ]+)"), F.lit(1))).alias("run"))
+    hashed = runs.filter(F.char_length("run") >= 5).withColumn("h", F.crc32(F.concat_ws(":", "id", "run")))
+    word = F.when(F.col("h") % 97 != 0, F.col("run")).otherwise(
+        F.expr("concat(substring(run, 1, h % char_length(run)), substring(run, h % char_length(run) + 2))"))
+    words = spelling.vocabulary(hashed.select(word.alias("word")), least_chars=5, least_count=3)
+    return spelling.variant_forms(cut_lineage(words))
