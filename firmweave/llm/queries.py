@@ -7,7 +7,7 @@ from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from firmweave.llm import (
-    bpe, conversation_trie, decontaminate, language_id, line_dedup, quality, simhash_dedup, spelling, substring_dedup, token_files, vector_search, warc_zip,
+    bpe, conversation_trie, decontaminate, language_id, line_dedup, quality, quality_rules, simhash_dedup, spelling, substring_dedup, token_files, vector_search, warc_zip,
 )
 from firmweave.llm.common import scratch_path
 from firmweave.storage import cut_lineage
@@ -198,3 +198,13 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("concat(substring(run, 1, h % char_length(run)), substring(run, h % char_length(run) + 2))"))
     words = spelling.vocabulary(hashed.select(word.alias("word")), least_chars=5, least_count=3)
     return spelling.variant_forms(cut_lineage(words))
+
+
+@register("op11_quality_rules")
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document. Trees learn from ``labels`` of quality, TRAIN_ROWS at most; a null text has no word and fails."""
+    measured = cut_lineage(quality_rules.measure(table(spark, sf_dir, "documents")))
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") > 0).alias("good"))
+    judged = quality_rules.judge(measured, quality_rules.learn(measured, labels))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("doc_id", *quality_rules.COUNTS, failed.alias("base_failed"), (~failed & (F.col("score") >= 0.5)).alias("kept"), "score")
