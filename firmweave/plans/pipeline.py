@@ -45,7 +45,8 @@ def run_pipeline(
     ``responses`` (batch_id, text) answers the ``requests`` table of an earlier
     run. Without them the matching steps leave domains, logos or descriptions
     empty. Stage tables under ``out_dir`` are reused while their inputs stay the
-    same; pass another ``version`` if a lookup DataFrame changes but its files do not.
+    same: files by name, size and time, lookup DataFrames by their whole plan and the rows no file holds.
+    Another ``version`` computes everything anew.
     """
     stages = StageTables(spark, out_dir, version)
     files = raw_files(spark, raw_dir)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import tempfile
 import uuid
-import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -57,25 +58,79 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
 def fingerprint(spark: SparkSession, paths: list[str], *settings: object) -> str:
     """Digest of the files' names, sizes and times plus any settings; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    row = files.select("path", "length", "modificationTime").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("x"),
-    ).first()
-    return f"{row['n']:x}-{(row['x'] or 0) & (2**64 - 1):016x}-{zlib.crc32(repr(settings).encode()):08x}"
+    return f"{content_digest(files.select('path', 'length', 'modificationTime'))}-{_digest(repr(settings))}"
 
 
-def plan_text(df: DataFrame) -> str:
-    """The plan with its expression numbers made comparable, so another filter over the same files differs."""
-    return df._jdf.queryExecution().analyzed().canonicalized().toString()
+def _digest(*parts: str) -> str:
+    return hashlib.sha256("\x1e".join(parts).encode()).hexdigest()[:32]
 
 
 def content_digest(df: DataFrame) -> str:
-    """Row count and a digest of the rows in any order."""
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}) if df.columns else F.lit("")
-    found = df.agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(row)).alias("x"), F.sum(F.xxhash64(row, F.lit(1)).cast("decimal(38,0)")).alias("s")
-    ).first()
-    return f"{found['n']:x}-{found['x']}-{found['s']}"
+    """Row count and a digest of the rows in any order, column names and types included."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    row = F.to_json(F.struct(*plain.columns), {"ignoreNullFields": "false"}) if plain.columns else F.lit("")
+    wide = lambda seed: F.sum(F.xxhash64(row, F.lit(seed)).cast("decimal(38,0)"))
+    found = plain.agg(F.count(F.lit(1)).alias("n"), wide(0).alias("x"), wide(1).alias("y")).first()
+    return _digest(df.schema.json(), *map(str, found))
+
+
+@contextlib.contextmanager
+def _whole_texts(spark: SparkSession):
+    """Plan texts with all fields and list items, which Spark else shortens."""
+    name = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 2**31 - 1)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _items(seq) -> list:
+    """Elements of a JVM sequence."""
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _plan_digest(spark: SparkSession, plan) -> str:
+    """Digest of a resolved plan: its operators with all literals, its leaves by their files or rows, subqueries alike.
+
+    Expression numbers and aliases of tables are made comparable first. Files are told by name, size and time; any
+    other leaf (rows given by the driver, a table of another source) by its rows.
+    """
+    parts: list[str] = []
+
+    def operators(node) -> None:
+        children = _items(node.children())
+        # leaves show the addresses of what they hold; they are told by their content below
+        parts.append(node.simpleString(2**31 - 1) if children else node.nodeName())
+        parts.extend(_plan_digest(spark, inner) for inner in _items(node.subqueries()))
+        for child in children:
+            operators(child)
+        parts.append("end")
+
+    operators(plan.canonicalized())
+    session = spark._jsparkSession
+    for leaf in _items(plan.collectLeaves()):
+        rows = DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, leaf), spark)
+        files = rows.inputFiles()
+        parts.append(fingerprint(spark, files) + rows.schema.json() if files else content_digest(rows))
+    return _digest(*parts)
+
+
+def plan_digest(df: DataFrame) -> str:
+    """What ``df`` is computed from and how, so that equal digests mean equal rows.
+
+    A plan with user functions cannot be told by its text, so its rows are. Values that Spark sets when a plan runs
+    (the time, unseeded random numbers) do not count.
+    """
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().analyzed()
+    patterns = spark._jvm.org.apache.spark.sql.catalyst.trees.TreePattern
+    inner = [plan, *_items(plan.subqueriesAll())]
+    if any(p.containsPattern(getattr(patterns, kind)()) for p in inner for kind in ("PYTHON_UDF", "SCALA_UDF")):
+        return content_digest(df)
+    with _whole_texts(spark):
+        return _digest(_plan_digest(spark, plan), df.schema.json())
 
 
 class StageTables:
@@ -87,22 +142,19 @@ class StageTables:
 
     def __init__(self, spark: SparkSession, out_dir: str, version: str = ""):
         self.spark, self.out_dir = spark, out_dir.rstrip("/")
-        self.key = f"{zlib.crc32(version.encode()):08x}"
+        self.key = _digest(version)
         self.reused: list[str] = []
 
     def depends_on(self, *inputs: object) -> None:
-        """Mix inputs into the key: folders or files (by metadata), DataFrames (by their files and plan, or their rows), settings."""
+        """Mix inputs into the key: folders or files (by metadata), DataFrames (by their files, plan and rows), settings."""
         for item in inputs:
             if isinstance(item, DataFrame):
-                files = item.inputFiles()
-                # what is made of files is told by them and the plan over them, anything else by its rows
-                part = fingerprint(self.spark, files) + plan_text(item) if files else content_digest(item)
-                part += item.schema.simpleString()
+                part = plan_digest(item)
             elif isinstance(item, str) and exists(self.spark, item):
                 part = fingerprint(self.spark, [item])
             else:
                 part = repr(item)
-            self.key = f"{zlib.crc32((self.key + part).encode()):08x}"
+            self.key = _digest(self.key, type(item).__name__, part)
 
     def table(
         self, stage: str, build: Callable[[], DataFrame], measure: dict[str, Column] | None = None

@@ -59,3 +59,57 @@ def test_stage_key_follows_rows_and_plans(spark, tmp_path):
     a.union(b).write.parquet(str(tmp_path / "t"))
     table = lambda: spark.read.parquet(str(tmp_path / "t"))
     assert key(table().filter("text = '[]'")) == key(table().filter("text = '[]'")) != key(table().filter("text = '[1]'"))
+
+
+def test_stage_keys_tell_inputs_apart(spark, tmp_path):
+    """Long lists, wide selects, rows given by the driver, subqueries, user functions: equal keys only for equal inputs."""
+    def key(df):
+        tables = StageTables(spark, str(tmp_path / "s"))
+        tables.depends_on(df)
+        return tables.key
+
+    path = str(tmp_path / "t")
+    spark.range(300).selectExpr("id", "cast(id as string) AS text").write.parquet(path)
+    table = lambda: spark.read.parquet(path)
+    listed = lambda last: table().filter(F.col("id").isin([*range(60), last]))
+    wide = lambda last: table().select(*[(F.col("id") + i).alias(f"c{i}") for i in range(61)], F.lit(last).alias("last"))
+    rows = lambda text: spark.createDataFrame([(1, text)], "id bigint, text string")
+    united = lambda text: table().union(rows(text))
+    nested = lambda text: table().filter(F.col("id").isin([1, 2])).join(rows(text).select("id"), "id", "left_semi").unionByName(rows(text).limit(0))
+
+    def within(text):
+        rows(text).createOrReplaceTempView("asked")
+        table().createOrReplaceTempView("held")
+        return spark.sql("SELECT * FROM held WHERE text IN (SELECT text FROM asked)")
+
+    def applied(n):
+        def run(batches):
+            for batch in batches:
+                yield batch.slice(0, n)
+
+        return table().mapInArrow(run, "id bigint, text string")
+
+    for make, a, b in [(listed, 100, 200), (wide, 1, 2), (united, "x", "y"), (within, "x", "y"), (applied, 1, 2), (rows, "x", "y")]:
+        assert key(make(a)) == key(make(a)), make
+        assert key(make(a)) != key(make(b)), make
+    assert key(nested("x")) == key(nested("x"))
+    assert key(table()) != key(table().withColumnRenamed("text", "name"))
+    before = key(table())
+    spark.range(5).selectExpr("id", "cast(id as string) AS text").write.mode("append").parquet(path)
+    assert key(table()) != before
+
+
+def test_a_changed_lookup_is_not_answered_from_old_tables(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    (raw / "a.csv").write_text("name,url\nAlone Inc,\nOther AG,\n")
+    path = str(tmp_path / "known")
+    spark.createDataFrame([("other", "other.com", "auto")], "ref_name string, ref_domain string, ref_industry string").write.parquet(path)
+
+    def domains(domain):
+        more = spark.createDataFrame([("alone", domain, "auto")], "ref_name string, ref_domain string, ref_industry string")
+        master = run_pipeline(spark, str(raw), out, references=[spark.read.parquet(path).union(more)])
+        return {r.primary_company_name: r.domain for r in master.collect()}
+
+    assert domains("a.com") == {"ALONE": "a.com", "OTHER": "other.com"}
+    assert domains("b.com") == {"ALONE": "b.com", "OTHER": "other.com"}
