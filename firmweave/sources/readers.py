@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import csv
+import sys
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from firmweave.storage import exists, list_files
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+
 # File extension of each raw format.
 EXTENSIONS = {"csv": ".csv", "jsonl": ".jsonl", "parquet": ".parquet"}
 
@@ -18,33 +24,74 @@ def _strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _by_header(spark: SparkSession, paths: list[str], **options) -> list[tuple[list[str], list[str]]]:
-    """Files grouped by header line; Spark applies one header by position to all files of a read."""
+@contextlib.contextmanager
+def _a_task_for_each_file(spark: SparkSession):
+    """Files are neither cut nor put together while a job runs."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, str(2**60))
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def _first_line(batches):
+    """The first row of a file; the rest is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _column_names(line: str, quote: str) -> tuple[str, ...]:
+    """Names in a header line; empty and repeated ones are told apart by their place."""
+    line = line.removeprefix("\ufeff")
+    found = next(csv.reader([line], quotechar=quote, doublequote=True), []) if quote else line.split(",")
+    folded = [x.lower() for x in found]
+    return tuple(f"_c{i}" if not x else f"{x}{i}" if folded.count(x.lower()) > 1 else x for i, x in enumerate(found))
+
+
+def _by_header(spark: SparkSession, paths: list[str], quote: str) -> list[tuple[list[str], list[str]]]:
+    """Files grouped by header line, which one job reads; Spark applies one header by position to all files of a read."""
+    names = {spark._jvm.org.apache.hadoop.fs.Path(p).toUri().getPath(): p for p in paths}
+    with _a_task_for_each_file(spark):
+        lines = spark.read.text(paths).select("value", "_metadata.file_path").mapInArrow(_first_line, "value string, file_path string").collect()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        columns = spark.read.options(header=True, **options).csv(path).columns
-        if columns:
-            groups.setdefault(tuple(columns), []).append(path)
+    for line in sorted(lines, key=lambda r: r["file_path"]):
+        path = spark._jvm.java.net.URI(line["file_path"]).getPath()
+        if line["value"]:
+            groups.setdefault(_column_names(line["value"], quote), []).append(names[path])
     return [(list(header), members) for header, members in groups.items()]
 
 
+def _with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files in which a line has an odd number of quotes, so a quoted field may go on in the next line."""
+    odd = spark.read.text(paths).filter(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1)
+    found = {spark._jvm.java.net.URI(r[0]).getPath() for r in odd.select("_metadata.file_path").distinct().collect()}
+    return {p for p in paths if spark._jvm.org.apache.hadoop.fs.Path(p).toUri().getPath() in found}
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_csv(spark: SparkSession, paths: list[str], multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, paths: list[str], multiline: bool | None = None) -> DataFrame:
     """All files as text columns, united by column name; rows that do not fit are skipped.
 
-    ``multiline`` allows line breaks in quoted fields, which keeps a file in one
-    split. Turn it off for large files without such breaks.
+    Files are read in splits. Those in which a quoted field may hold a line break are read whole, one task
+    each; they are found by their quotes, unless ``multiline`` says that all files (True) or none (False) are such.
     """
-    options = dict(quote='"', escape='"')
-    frames = [
-        spark.read.schema(_strings(header))
-        .options(header=True, mode="DROPMALFORMED", columnPruning=False, multiLine=multiline, **options)
-        .csv(members)
-        for header, members in _by_header(spark, paths, **options)
-    ]
+    whole = _with_line_breaks(spark, paths) if multiline is None else set(paths) if multiline else set()
+    reader = lambda header, unsplit: spark.read.schema(_strings(header)).options(
+        header=True, mode="DROPMALFORMED", columnPruning=False, multiLine=unsplit, quote='"', escape='"')
+    frames = []
+    for header, members in _by_header(spark, paths, '"'):
+        for unsplit in (False, True):
+            if some := [p for p in members if (p in whole) == unsplit]:
+                frames.append(reader(header, unsplit).csv(some))
     return _union(frames)
 
 
@@ -52,7 +99,7 @@ def read_bulk_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Large reference CSV without quoting: every line is a row, ragged lines are cut or padded."""
     frames = [
         spark.read.schema(_strings(header)).options(header=True, quote="", mode="PERMISSIVE").csv(members)
-        for header, members in _by_header(spark, paths, quote="")
+        for header, members in _by_header(spark, paths, "")
     ]
     return _union(frames)
 

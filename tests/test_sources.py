@@ -28,6 +28,27 @@ def test_csv_quoted_line_break_and_quote(spark, tmp_path):
     assert [tuple(r) for r in R.read_csv(spark, [path]).collect()] == [("Foo\nBar", 'say "hi"')]
 
 
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    whole = write(tmp_path, "a b.csv", 'name,city\n"Foo\nBar","x, y"\nA,B\n')
+    plain = [write(tmp_path, f"ö{i}.csv", "city,name\n" + f'"u, {i}","say ""hi"""\n' * 40_000) for i in range(2)]
+    empty = write(tmp_path, "none.csv", "")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        assert R._with_line_breaks(spark, [whole, *plain]) == {whole}
+        df = R.read_csv(spark, [whole, *plain, empty])
+        assert df.rdd.getNumPartitions() > 8
+        assert sorted(R._by_header(spark, [whole, *plain, empty], '"')) == [(["city", "name"], plain), (["name", "city"], [whole])]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = df.groupBy("name", "city").count().collect()
+    assert sorted(map(tuple, got)) == [("A", "B", 1), ("Foo\nBar", "x, y", 1), ('say "hi"', "u, 0", 40_000), ('say "hi"', "u, 1", 40_000)]
+
+
+def test_header_names():
+    assert R._column_names('\ufeffa,,"b, c",A', '"') == ("a0", "_c1", "b, c", "A3")
+    assert R._column_names('"a,b', "") == ('"a', "b")
+
+
 def test_bulk_csv_keeps_every_line(spark, tmp_path):
     data = b'name,website\nun"paired,a.com\nextra,b.com,zzz\nmissing\nbad\xff,c.com\n'
     df = R.read_bulk_csv(spark, [write(tmp_path, "bulk.csv", data)])
