@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from firmweave.functions.text import clean_domain
-from firmweave.operators import enrich, resolve, verify
+from firmweave.operators import enrich, verify
 from firmweave.operators.fuzzy import best_reference
 from firmweave.operators.golden import first_pass_entities
 from firmweave.plans import serve
@@ -25,27 +25,31 @@ def reference_automotive(spark, sf):
     return enrich.automotive(enrich.unified_reference(W.reference_rows(spark, sf)))
 
 
-_EXACT_KEYS = """
+def exact_sql(source: str, name: str) -> str:
+    return f"""
 exact_keys AS (
   SELECT k, ref_domain FROM (
     SELECT lower(trim(ref_name)) AS k, ref_domain, row_number() OVER (PARTITION BY lower(trim(ref_name)) ORDER BY ref_name) AS rn FROM reference)
   WHERE rn = 1),
-exact_filled AS (
+{name} AS (
   SELECT e.* REPLACE (coalesce(nullif(domain, ''), ref_domain) AS domain)
-  FROM firm_entities e LEFT JOIN exact_keys ON k = lower(trim(primary_company_name)))"""
+  FROM {source} e LEFT JOIN exact_keys ON k = lower(trim(primary_company_name)))"""
 
 
-@register("direct_join_fill", f"WITH {W.FIRM_ENTITIES_SQL}, {W.REFERENCE_SQL}, {_EXACT_KEYS} SELECT canonical_id, primary_company_name, domain FROM exact_filled")
+@register("direct_join_fill", f"WITH {W.FIRM_ENTITIES_SQL}, {W.REFERENCE_SQL}, {exact_sql('firm_entities', 'exact_filled')} SELECT canonical_id, primary_company_name, domain FROM exact_filled")
 def direct_join_fill(spark, sf):
     reference = enrich.unified_reference(W.reference_rows(spark, sf))
     filled = enrich.fill_exact(W.firm_entities(spark, sf), reference)
     return filled.select("canonical_id", "primary_company_name", "domain")
 
 
-@register("bulk_lookup_fill", f"""WITH {W.FIRM_ENTITIES_SQL},
+BULK_SQL = """
 bulk AS (
   SELECT lower(p_name) AS k, min(replace(p_name, ' ', '-') || '-' || CAST(l_suppkey AS VARCHAR) || '.com') AS ref_domain
-  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)"""
+
+
+@register("bulk_lookup_fill", f"""WITH {W.FIRM_ENTITIES_SQL}, {BULK_SQL}
 SELECT canonical_id, primary_company_name, coalesce(nullif(domain, ''), ref_domain) AS domain
 FROM firm_entities LEFT JOIN bulk ON k = lower(trim(primary_company_name))""")
 def bulk_lookup_fill(spark, sf):
@@ -56,7 +60,7 @@ def bulk_lookup_fill(spark, sf):
 _COMPARABLE = "trim(regexp_replace(lower({c}), '[^a-z0-9_]', ' ', 'g'))"
 
 
-def _fuzzy_sql(cutoff: float) -> str:
+def fuzzy_sql(cutoff: float, source: str = "firm_entities") -> str:
     """Best automotive reference by weighted ratio, all pairs within the length limit."""
     def words(x):
         return f"list_sort(list_distinct(list_filter(string_split_regex({x}, '\\s+'), lambda t: t <> '')))"
@@ -66,7 +70,7 @@ def _fuzzy_sql(cutoff: float) -> str:
 
     return f"""
 missing_names AS (SELECT DISTINCT primary_company_name AS name, {_COMPARABLE.format(c='primary_company_name')} AS a
-  FROM firm_entities WHERE domain IS NULL OR domain = ''),
+  FROM {source} WHERE domain IS NULL OR domain = ''),
 auto AS (SELECT ref_name, ref_domain, {_COMPARABLE.format(c='ref_name')} AS b FROM reference
   WHERE regexp_matches(ref_industry, '(?i)auto|motor|vehicle')),
 text_pairs AS (
@@ -92,7 +96,7 @@ best_refs AS (
     FROM missing_names JOIN scores USING (a) JOIN auto USING (b) WHERE round(score, 9) >= {cutoff}) WHERE rn = 1)"""
 
 
-@register("fuzzy_domain_lookup", f"""WITH {W.FIRM_ENTITIES_SQL}, {W.REFERENCE_SQL}, {_fuzzy_sql(92)}
+@register("fuzzy_domain_lookup", f"""WITH {W.FIRM_ENTITIES_SQL}, {W.REFERENCE_SQL}, {fuzzy_sql(92)}
 SELECT name, ref_name, ref_domain, round(score, 6) AS score FROM best_refs""")
 def fuzzy_domain_lookup(spark, sf):
     names = W.firm_entities(spark, sf).filter("domain is null or domain = ''").select(F.col("primary_company_name").alias("name"))
@@ -102,7 +106,7 @@ def fuzzy_domain_lookup(spark, sf):
     return best_reference(names, reference, 92).withColumn("score", F.round("score", 6))
 
 
-@register("fuzzy_fill", f"""WITH {W.FIRM_ENTITIES_SQL}, {W.REFERENCE_SQL}, {_fuzzy_sql(94)}
+@register("fuzzy_fill", f"""WITH {W.FIRM_ENTITIES_SQL}, {W.REFERENCE_SQL}, {fuzzy_sql(94)}
 SELECT canonical_id, primary_company_name, coalesce(nullif(domain, ''), ref_domain) AS domain
 FROM firm_entities LEFT JOIN best_refs ON name = primary_company_name""")
 def fuzzy_fill(spark, sf):
@@ -111,9 +115,10 @@ def fuzzy_fill(spark, sf):
     return filled.select("canonical_id", "primary_company_name", "domain")
 
 
-_UNIFIED = W.FIRM_ENTITIES_SQL + """,
+def unified_sql(source: str) -> str:
+    return f"""
 moved AS (SELECT * REPLACE (CASE WHEN domain IS NULL OR domain = '' THEN canonical_id
-                                 ELSE min(canonical_id) OVER (PARTITION BY domain) END AS canonical_id) FROM firm_entities)
+                                 ELSE min(canonical_id) OVER (PARTITION BY domain) END AS canonical_id) FROM {source})
 """ + W.mode_sql("moved", "canonical_id", "primary_company_name", "u_name") + W.mode_sql("moved", "canonical_id", "domain", "u_domain") + """,
 unified AS (
   SELECT g.canonical_id, n.value AS primary_company_name, list_sort(list_distinct(flatten(lists))) AS aliases, record_count,
@@ -124,7 +129,7 @@ unified AS (
 )"""
 
 
-@register("domain_unify", f"WITH {_UNIFIED} SELECT * FROM unified")
+@register("domain_unify", f"WITH {W.FIRM_ENTITIES_SQL}, {unified_sql('firm_entities')} SELECT * FROM unified")
 def domain_unify(spark, sf):
     return enrich.unify_domains(W.firm_entities(spark, sf))
 
@@ -169,8 +174,11 @@ def logo_candidates(spark, sf):
 
 # -------------------------------------------------------------- verification
 
-_REQUESTS = W.FIRM_ENTITIES_SQL + """,
-numbered AS (SELECT *, CAST((row_number() OVER (ORDER BY canonical_id) - 1) // 10 AS BIGINT) AS batch_id FROM firm_entities)"""
+def numbered_sql(source: str) -> str:
+    return f"numbered AS (SELECT *, CAST((row_number() OVER (ORDER BY canonical_id) - 1) // 10 AS BIGINT) AS batch_id FROM {source})"
+
+
+_REQUESTS = f"{W.FIRM_ENTITIES_SQL}, {numbered_sql('firm_entities')}"
 
 
 @register("verify_requests", f"""WITH {_REQUESTS}
@@ -205,13 +213,14 @@ def responses(requests):
     )
 
 
-_ANSWERS = _REQUESTS + """,
+ANSWERS_SQL = """
 answers AS (
   SELECT canonical_id AS id,
     CASE WHEN batch_id % 4 = 3 OR canonical_id LIKE '%7' THEN 'Missing' ELSE 'site' || canonical_id || '.com' END AS verified_domain,
     CASE WHEN batch_id % 4 = 3 THEN 'Information not found.' ELSE 'Maker no. ' || canonical_id END AS description,
     batch_id % 4 = 3 OR length(canonical_id) > 2 AS is_automotive
   FROM numbered)"""
+_ANSWERS = f"{_REQUESTS}, {ANSWERS_SQL}"
 
 
 def _answers(spark, sf):
@@ -242,10 +251,12 @@ def master_merge_strict(spark, sf):
 
 # ------------------------------------------------------------------- serving
 
-_MASTER = W.ENTITIES_SQL + f""",
-sites AS (SELECT *, {W.domain_sql('primary_website')} AS domain FROM entities),
+LIVE_SQL = """
 live AS (
-  SELECT replace(p_name, ' ', '-') || '.com' AS d, bool_or(p_partkey % 9 = 0) AS one, bool_or(p_partkey % 4 = 0) AS two FROM part GROUP BY 1),
+  SELECT replace(p_name, ' ', '-') || '.com' AS d, bool_or(p_partkey % 9 = 0) AS one, bool_or(p_partkey % 4 = 0) AS two FROM part GROUP BY 1)"""
+
+_MASTER = W.ENTITIES_SQL + f""",
+sites AS (SELECT *, {W.domain_sql('primary_website')} AS domain FROM entities), {LIVE_SQL},
 master AS (
   SELECT canonical_id, primary_company_name, domain,
     CASE WHEN right(canonical_id, 1) IN ('1', '5') THEN 'Missing' ELSE 'Maker of ' || primary_company_name END AS description,
@@ -255,14 +266,18 @@ master AS (
   FROM sites LEFT JOIN live ON d = domain)"""
 
 
-def core_master(spark, sf):
-    """Master table over core-name clusters with logos and descriptions."""
-    entities = W.core_entities(spark, sf).withColumn("domain", clean_domain("primary_website")).drop("primary_website")
+def part_status(spark, sf):
+    """Live logo addresses of the domains that part names give."""
     part = table(spark, sf, "part").select("p_partkey", F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(".com")).alias("d"))
     first, second = (F.replace(F.lit(t), F.lit("{domain}"), F.col("d")) for t in enrich.LOGO_TEMPLATES)
-    status = part.select(first.alias("url"), F.when(F.col("p_partkey") % 9 == 0, 200).otherwise(404).alias("status")).unionByName(
+    return part.select(first.alias("url"), F.when(F.col("p_partkey") % 9 == 0, 200).otherwise(404).alias("status")).unionByName(
         part.select(second.alias("url"), F.when(F.col("p_partkey") % 4 == 0, 200).otherwise(404).alias("status"))
     )
+
+
+def core_master(spark, sf):
+    """Master table over core-name clusters with logos and descriptions."""
+    entities = W.core_entities(spark, sf).withColumn("domain", clean_domain("primary_website")).drop("primary_website")
     answers = entities.select(
         F.col("canonical_id").alias("id"),
         F.lit(None).cast("string").alias("verified_domain"),
@@ -270,7 +285,7 @@ def core_master(spark, sf):
         .otherwise(F.concat(F.lit("Maker of "), "primary_company_name")).alias("description"),
         F.lit(True).alias("is_automotive"),
     )
-    return verify.master_table(enrich.with_logos(entities, status), answers)
+    return verify.master_table(enrich.with_logos(entities, part_status(spark, sf)), answers)
 
 
 @register("search", f"""WITH {_MASTER}
@@ -314,22 +329,3 @@ SELECT canonical_id, primary_company_name, record_count, CAST(len(operating_coun
 FROM entities ORDER BY record_count DESC, canonical_id LIMIT 10""")
 def top_entities(spark, sf):
     return serve.top_entities(first_pass_entities(W.core_clusters(W.firms(spark, sf))))
-
-
-# ------------------------------------------------------------ the whole flow
-
-
-@register("master_entities")
-def master_entities(spark, sf):
-    """Firms to master table: both passes, three lookups, domain merge, logos, verification."""
-    firms = W.firms(spark, sf)
-    entities = cut_lineage(first_pass_entities(resolve.cluster_firms(firms)))
-    refined = cut_lineage(enrich.clean_domains(resolve.second_pass(entities)))
-    reference = cut_lineage(enrich.unified_reference(W.reference_rows(spark, sf)))
-    exact = cut_lineage(enrich.fill_exact(refined, reference))
-    bulk = cut_lineage(enrich.fill_bulk(exact, W.bulk_rows(spark, sf)))
-    fuzzy = cut_lineage(enrich.clean_domains(enrich.fill_fuzzy(bulk, enrich.automotive(reference))))
-    merged = cut_lineage(enrich.unify_domains(fuzzy))
-    merged = cut_lineage(enrich.with_logos(merged, page_status(spark, sf)))
-    requests = cut_lineage(verify.request_batches(merged))
-    return verify.master_table(merged, verify.ingest_responses(requests, responses(requests)))

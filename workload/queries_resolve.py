@@ -40,10 +40,10 @@ scored AS (
 )"""
 
 
-_CORES = "SELECT DISTINCT node AS name FROM named WHERE core <> ''"
+CORES_SQL = "SELECT DISTINCT node AS name FROM named WHERE core <> ''"
 
 
-@register("token_sort_matches", f"WITH {W.NODES_SQL}, {_best_other_sql(_CORES, 'best_names')} SELECT name, best, round(score, 6) AS score FROM best_names")
+@register("token_sort_matches", f"WITH {W.NODES_SQL}, {_best_other_sql(CORES_SQL, 'best_names')} SELECT name, best, round(score, 6) AS score FROM best_names")
 def token_sort_matches(spark, sf):
     names = W.firms(spark, sf).select(core_name("company_name").alias("name"))
     return best_other_names(names).withColumn("score", F.round("score", 6))
@@ -55,7 +55,7 @@ def customer_name_matches(spark, sf):
     return best_other_names(names).withColumn("score", F.round("score", 6))
 
 
-def _hybrid_sql(names: str, cosine: float) -> str:
+def hybrid_sql(names: str, cosine: float) -> str:
     return f"""
 vn AS ({names}),
 gram_counts AS (
@@ -81,7 +81,7 @@ hybrid AS (
 _NAMES = "SELECT DISTINCT company_name AS name FROM firms WHERE company_name <> ''"
 
 
-@register("name_vectors", f"""WITH {W.NODES_SQL}, {_hybrid_sql(_CORES, 0.88)}
+@register("name_vectors", f"""WITH {W.NODES_SQL}, {hybrid_sql(CORES_SQL, 0.88)}
 SELECT name, gram, round(w, 6) AS w FROM units""")
 def name_vectors(spark, sf):
     names = W.firms(spark, sf).select(core_name("company_name").alias("name"))
@@ -91,14 +91,14 @@ def name_vectors(spark, sf):
     )
 
 
-@register("cosine_pairs", f"""WITH {W.FIRMS_SQL}, {_hybrid_sql(_NAMES, 0.7)}
+@register("cosine_pairs", f"""WITH {W.FIRMS_SQL}, {hybrid_sql(_NAMES, 0.7)}
 SELECT a, b, round(cosine, 6) AS cosine FROM cosines WHERE a < b AND cosine >= 0.7""")
 def cosine_pairs(spark, sf):
     grams = vectors.gram_vectors(W.firms(spark, sf), "company_name")
     return vectors.cosine_pairs(grams, 0.7).withColumn("cosine", F.round("cosine", 6))
 
 
-@register("hybrid_matches", f"WITH {W.FIRMS_SQL}, {_hybrid_sql(_NAMES, 0.7)} SELECT a, b FROM hybrid")
+@register("hybrid_matches", f"WITH {W.FIRMS_SQL}, {hybrid_sql(_NAMES, 0.7)} SELECT a, b FROM hybrid")
 def hybrid_matches(spark, sf):
     return vectors.hybrid_pairs(W.firms(spark, sf), "company_name", min_cosine=0.7)
 
@@ -158,7 +158,7 @@ def components_multi_rule(spark, sf):
 
 
 @register("first_pass_clusters", f"""
-WITH RECURSIVE {W.NODES_SQL}, {_hybrid_sql(_CORES, 0.88)},
+WITH RECURSIVE {W.NODES_SQL}, {hybrid_sql(CORES_SQL, 0.88)},
 reach(a, b) AS (
   SELECT DISTINCT node, node FROM named
   UNION SELECT r.a, CASE WHEN h.a = r.b THEN h.b ELSE h.a END FROM reach r JOIN hybrid h ON h.a = r.b OR h.b = r.b),
@@ -215,7 +215,7 @@ def _merged_sql(source: str, key: str, name: str) -> str:
     )
 
 
-def _clean_sql(source: str) -> str:
+def clean_sql(source: str) -> str:
     """Final second-pass rows: core primary name, aliases unique without case, no near copies."""
     root = "lower(trim(root_name))"
     return f"""
@@ -247,12 +247,12 @@ def golden_refined(spark, sf):
     return golden.refined_entities(_by_site(spark, sf))
 
 
-@register("alias_refine", f"WITH {_BY_SITE} {_clean_sql('refined')}")
+@register("alias_refine", f"WITH {_BY_SITE} {clean_sql('refined')}")
 def alias_refine(spark, sf):
     return golden.refine_names(golden.refined_entities(_by_site(spark, sf)))
 
 
-_SECOND = W.ENTITIES_SQL + f""",
+SECOND_SQL = f"""
 cores AS (SELECT canonical_id, {W.core_sql('primary_company_name')} AS core FROM entities), """ + _best_other_sql(
     "SELECT DISTINCT core AS name FROM cores", "best_names"
 ) + """,
@@ -273,6 +273,6 @@ mastered AS (
 )""" + _merged_sql("mastered", "master_cluster_id", "refined")
 
 
-@register("second_pass_entities", f"WITH RECURSIVE {_SECOND} {_clean_sql('refined')}")
+@register("second_pass_entities", f"WITH RECURSIVE {W.ENTITIES_SQL}, {SECOND_SQL} {clean_sql('refined')}")
 def second_pass_entities(spark, sf):
     return resolve.second_pass(W.core_entities(spark, sf))
