@@ -159,9 +159,9 @@ def _crc_sql(digits: str) -> str:
 _TRIE_SQL = f"""
 WITH crc AS ({_CRC_TABLE}),
 own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS at
+          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
         FROM conversations WHERE conv_id IS NOT NULL),
-o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY at) AS turns FROM own GROUP BY conv_id),
+o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY place) AS turns FROM own GROUP BY conv_id),
 h AS (SELECT conv_id, turns, {_crc_sql("conv_id::VARCHAR")} % 4 AS h FROM o, crc),
 c AS (SELECT h.conv_id, list_concat(coalesce(b.turns, [])[:h.h], h.turns[h.h + 1:]) AS turns
       FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 20),
