@@ -49,6 +49,19 @@ def cut_lineage(df: DataFrame, spread: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote for tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        own = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/"
+        fs, home = _hadoop_path(spark, own)
+        home = fs.makeQualified(home).toUri().getPath()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            fs, jpath = _hadoop_path(spark, folder)
+            if jpath.toUri().getPath().startswith(home):
+                fs.delete(jpath, True)
+
+
 def list_files(spark: SparkSession, folder: str) -> list[str]:
     """Files directly in ``folder``."""
     fs, jpath = _hadoop_path(spark, folder)
