@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import contextlib
 import hashlib
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # classes sent to executors name these functions
+
 _LOCAL_SCRATCH: str | None = None  # only ever used with a local master
 
 
