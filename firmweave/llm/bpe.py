@@ -20,7 +20,9 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from firmweave.llm.common import Shared, whole_text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -172,28 +174,29 @@ def _mapped(df: DataFrame, source: str, out: str, keep: list[str], function) ->
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                made = [function(v.as_py()) for v in part.column(part.schema.names.index(source))]
-                columns = [part.column(part.schema.names.index(f.name)) for f in wanted]
+                made = [function(v.as_py()) for v in part.column(len(wanted))]
+                columns = [part.column(i) for i in range(len(wanted))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.binary())], [*(f.name for f in wanted), out])
 
-    used = df.select(*dict.fromkeys([*(f.name for f in wanted), source]))
+    used = df.select(*(f.name for f in wanted), F.col(source).cast("binary").alias("__source"))
     return used.mapInArrow(run, T.StructType([*wanted, T.StructField(out, T.BinaryType())]))
 
 
 def share(spark: SparkSession, tokenizer: BytePairTokenizer):
     """The tokenizer sent once to each executor; its size is that of the vocabulary."""
-    return spark.sparkContext.broadcast(tokenizer)
+    return Shared(spark, tokenizer)
 
 
 def encode_texts(df: DataFrame, shared, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """(keep..., out): ids of each whole text, little-endian unsigned 32-bit; empty for null and empty texts.
 
-    ``keep`` defaults to all columns but the text. Rows are neither merged nor dropped.
+    ``keep`` defaults to all columns but the text and one called ``out``. Rows are neither merged nor dropped; bytes that are
+    no UTF-8 are encoded as U+FFFD.
     """
-    keep = [c for c in df.columns if c != text] if keep is None else keep
-    return _mapped(df, text, out, keep, lambda t: shared.value.encode(t or ""))
+    keep = [c for c in df.columns if c not in (text, out)] if keep is None else keep
+    return _mapped(df, text, out, keep, lambda t: shared.value.encode(whole_text(t or b"")))
 
 
 def decode_ids(df: DataFrame, shared, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """(keep..., out): bytes of each id list; ``keep`` defaults to all columns. Null ids give no bytes."""
-    return _mapped(df, ids, out, df.columns if keep is None else keep, lambda i: shared.value.decode(i or b""))
+    return _mapped(df, ids, out, [c for c in df.columns if c != out] if keep is None else keep, lambda i: shared.value.decode(i or b""))

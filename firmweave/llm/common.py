@@ -14,6 +14,28 @@ from firmweave.storage import shared_dir
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
 
 
+class Shared:
+    """An object sent once to each executor; its class travels with it, so executors need no copy of the package.
+
+    Spark's own broadcast names classes by their module. A worker process makes the object once and keeps it.
+    """
+
+    def __init__(self, spark: SparkSession, thing: object):
+        self.pickled = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+    @property
+    def value(self):
+        kept = self.pickled.__dict__
+        if "_made" not in kept:
+            kept["_made"] = cloudpickle.loads(self.pickled.value)
+        return kept["_made"]
+
+
+def whole_text(value: bytes | None) -> str | None:
+    """A text from its bytes; what is no UTF-8 becomes U+FFFD."""
+    return None if value is None else value.decode("utf-8", "replace")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from firmweave.llm.common import Shared, whole_text
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1 << 15
@@ -67,7 +69,7 @@ def gram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for language, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = grams(value.as_py())
+                found = grams(whole_text(value.as_py()))
                 if language in sums:
                     sums[language] += found
                 elif len(sums) < MAX_LANGUAGES:
@@ -78,7 +80,7 @@ def gram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
             at = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array([language] * len(at)), pa.array(at), pa.array(found[at])], ["lang", "bucket", "n"])
 
-    used = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    used = docs.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     return used.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -142,12 +144,12 @@ class LanguageModel:
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(keep..., lang_pred, score, languages): ``languages`` maps the chosen set to its shares.
 
-    Texts that are null or have no letter, and all texts if nothing was learnt, are ``und`` with score 0 and no languages.
+    Bytes that are no UTF-8 count as U+FFFD. Texts that are null or have no letter, and all texts if nothing was learnt, are ``und`` with score 0 and no languages.
     ``keep`` defaults to all columns but the text.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     wanted = [f for f in docs.schema.fields if f.name in keep]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES x BUCKETS numbers
+    shared = Shared(docs.sparkSession, model)  # at most MAX_LANGUAGES x BUCKETS numbers
     out = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
            T.StructField("languages", T.MapType(T.StringType(), T.DoubleType()))]
 
@@ -155,11 +157,11 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: li
         languages = shared.value.languages
         for batch in batches:
             names = batch.schema.names
-            found = [shared.value.predict(v.as_py()) for v in batch.column(names.index(text))]
+            found = [shared.value.predict(whole_text(v.as_py())) for v in batch.column(names.index("__text"))]
             shares = pa.array([[(x, s) for x, s in zip(languages, shares) if s > 0] for _, _, shares in found], pa.map_(pa.string(), pa.float64()))
             made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), shares]
             columns = [batch.column(names.index(f.name)) for f in wanted]
             yield pa.RecordBatch.from_arrays([*columns, *made], [*(f.name for f in wanted), *(f.name for f in out)])
 
-    used = docs.select(*dict.fromkeys([*(f.name for f in wanted), text]))
+    used = docs.select(*(f.name for f in wanted), F.col(text).cast("binary").alias("__text"))
     return used.mapInArrow(run, T.StructType([*wanted, *out]))

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from firmweave.llm.common import Shared, whole_text
 from firmweave.storage import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -165,12 +166,15 @@ def fit_labellers(counts: dict[int, int], steps: int = 200) -> dict[int, float]:
     return dict(zip(patterns, good.tolist()))
 
 
-def fit_scorer(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 8.0, decay: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Weights and offset of a logistic scorer for soft labels, by gradient steps with momentum."""
+def fit_scorer(
+    x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 8.0, decay: float = 1e-5, n: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
+    """Weights and offset of a logistic scorer for soft labels, by gradient steps with momentum; ``n`` is how often each row counts."""
     x, y = x.astype(np.float32), y.astype(np.float32)
+    part = np.full(len(y), 1 / len(y), np.float32) if n is None else (n / n.sum()).astype(np.float32)
     w, b, pace, pace_b = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(x.shape[1], np.float32), 0.0
     for _ in range(steps):
-        error = (1 / (1 + np.exp(-np.clip(x @ w + np.float32(b), -60, 60))) - y) / len(y)
+        error = (1 / (1 + np.exp(-np.clip(x @ w + np.float32(b), -60, 60))) - y) * part
         pace = np.float32(0.9) * pace - np.float32(rate) * (error @ x + np.float32(decay) * w)
         pace_b = 0.9 * pace_b - 0.1 * rate * float(error.sum())
         w, b = w + pace, b + pace_b
@@ -191,47 +195,55 @@ class QualityModel:
 
     @classmethod
     def learn(cls, docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> QualityModel:
-        """Votes and their counts over all documents with words; the scorer on ``train_rows`` of them at most, whose features reach the driver."""
-        n = docs.count()
-        share = min(1.0, 0.95 * train_rows / max(n, 1))
-        chosen = F.pmod(F.xxhash64(F.lit(7), text), F.lit(1_000_000)) < int(share * 1_000_000)
+        """Votes and their counts over all documents with words; the scorer on ``train_rows`` different texts at most, whose features reach the driver.
+
+        These are the texts with the smallest hashes, each weighted by its number of copies, whatever the number of documents.
+        """
+        used = docs.filter(F.length(F.trim(text)) > 0).select(F.xxhash64(F.lit(7), text).alias("hash"), F.col(text).cast("binary").alias("text"))
+        smallest = {r["hash"]: r["n"] for r in used.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).orderBy("hash").limit(train_rows).collect()}
+        last = max(smallest, default=-(1 << 63))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = set()  # of the chosen texts: a task gives each one's features once
             for batch in batches:
+                hashes = batch.column(0).to_pylist()
                 patterns, kept = [], []
-                for value, pick in zip(batch.column(0), batch.column(1).to_pylist()):
-                    m, features = measures(value.as_py())
+                for h, value in zip(hashes, batch.column(1)):
+                    m, features = measures(whole_text(value.as_py()))
                     patterns.append(pattern_of(votes(m)))
-                    kept.append(features.astype(np.float32).tobytes() if pick else None)
-                yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.int64()), pa.array(kept, pa.binary())], ["pattern", "features"])
+                    new = h <= last and h not in known
+                    kept.append(features.astype(np.float32).tobytes() if new else None)
+                    if new:
+                        known.add(h)
+                yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.int64()), batch.column(0), pa.array(kept, pa.binary())], ["pattern", "hash", "features"])
 
-        used = docs.filter(F.length(F.trim(text)) > 0).select(F.col(text).alias("text"), chosen.alias("chosen"))
-        seen = cut_lineage(used.mapInArrow(look, "pattern bigint, features binary"))
+        seen = cut_lineage(used.mapInArrow(look, "pattern bigint, hash bigint, features binary"))
         # 3 ** LABELLERS patterns at most
         counts = {r["pattern"]: r["n"] for r in seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}
         posterior = fit_labellers(counts)
-        # copies of one text are chosen together, so the bound is enforced here as well
-        rows = seen.filter("features IS NOT NULL").limit(train_rows).toLocalIterator()
-        found = [(posterior[r["pattern"]], np.frombuffer(bytes(r["features"]), np.float32)) for r in rows]
-        if not found:
+        rows = seen.filter("features IS NOT NULL").groupBy("hash").agg(F.first("pattern").alias("pattern"), F.first("features").alias("features")).orderBy("hash").collect()
+        if not rows:
             return cls(np.zeros(DIM), 0.0, posterior)
-        weights, offset = fit_scorer(np.array([f for _, f in found]), np.array([y for y, _ in found]))
+        x = np.array([np.frombuffer(bytes(r["features"]), np.float32) for r in rows])
+        weights, offset = fit_scorer(x, np.array([posterior[r["pattern"]] for r in rows]), n=np.array([smallest[r["hash"]] for r in rows], float))
         return cls(weights, offset, posterior)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "quality", keep: list[str] | None = None) -> DataFrame:
-    """(keep..., out): every document's score. ``keep`` defaults to all columns; null and blank texts score 0."""
-    wanted = [f for f in docs.schema.fields if keep is None or f.name in keep]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM weights and the patterns
+    """(keep..., out): every document's score. ``keep`` defaults to all columns but one called ``out``; null and blank texts score 0.
+
+    Bytes that are no UTF-8 count as U+FFFD.
+    """
+    wanted = [f for f in docs.schema.fields if f.name != out and (keep is None or f.name in keep)]
+    shared = Shared(docs.sparkSession, model)  # DIM weights and the patterns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            scores = [shared.value.score(v.as_py()) for v in batch.column(names.index(text))]
-            columns = [batch.column(names.index(f.name)) for f in wanted]
+            scores = [shared.value.score(whole_text(v.as_py())) for v in batch.column(len(wanted))]
+            columns = [batch.column(i) for i in range(len(wanted))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], [*(f.name for f in wanted), out])
 
-    used = docs.select(*dict.fromkeys([*(f.name for f in wanted), text]))
+    used = docs.select(*(f.name for f in wanted), F.col(text).cast("binary").alias("__text"))
     return used.mapInArrow(run, T.StructType([*wanted, T.StructField(out, T.DoubleType())]))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from firmweave.llm import (
     bpe, conversation_trie, decontaminate, language_id, line_dedup, quality, quality_rules, simhash_dedup, spelling, substring_dedup, token_files, vector_search, warc_zip,
 )
-from firmweave.llm.common import scratch_path
+from firmweave.llm.common import Shared, scratch_path
 from firmweave.storage import cut_lineage
 from workload.registry import register, table
 
@@ -32,7 +32,7 @@ def op8_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(path("byte_bpe_50k.json"), encoding="utf-8") as definition:
-        encoder = spark.sparkContext.broadcast(token_files.Encoder(definition.read(), PATTERN))
+        encoder = Shared(spark, token_files.Encoder(definition.read(), PATTERN))
     files = scratch_path(spark, "sequences")
     token_files.write_sequences(table(spark, sf_dir, "documents"), encoder, files, end_id=0)
     return token_files.read_documents(spark, files).select(

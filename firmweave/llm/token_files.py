@@ -22,7 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from firmweave.llm.bpe import BEYOND_LATIN, LONG_TEXT, latin_pattern
-from firmweave.llm.common import arrow_rows, read_files, write_files
+from firmweave.llm.common import arrow_rows, read_files, whole_text, write_files
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -56,11 +56,11 @@ class _Pieces(dict):
 
 
 class Encoder:
-    """Whole texts to ids by the ``tokenizers`` library; strings of special tokens are ordinary text.
+    """Whole texts to ids by the ``tokenizers`` library; the strings of added tokens give those tokens, as its plain call does.
 
     A tokenizer that splits at the byte-level pattern encodes each piece by itself, so
     the library's model is asked once for each new piece and its answers are remembered
-    (bounded). Other tokenizers, and texts beyond Latin letters, get the whole text.
+    (bounded). Other tokenizers, texts beyond Latin letters and those that hold an added token's string get the whole text.
     """
 
     def __init__(self, definition: str, pattern: str | None = None):
@@ -69,9 +69,7 @@ class Encoder:
         self._ready = None
 
     def _load(self) -> tokenizers.Tokenizer:
-        tokenizer = tokenizers.Tokenizer.from_str(self.definition)
-        tokenizer.encode_special_tokens = True
-        return tokenizer
+        return tokenizers.Tokenizer.from_str(self.definition)
 
     def __getstate__(self):
         return self.__dict__ | {"_ready": None}
@@ -90,9 +88,10 @@ class Encoder:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
             by_piece = self.pattern is not None and self.splits_at(self.pattern)
             tokenizer = self._load()
-            self._ready = tokenizer, _Pieces(tokenizer.model, code), latin_pattern(self.pattern) if by_piece else None
-        tokenizer, known, split = self._ready
-        if split is None or BEYOND_LATIN.search(text):
+            added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+            self._ready = tokenizer, _Pieces(tokenizer.model, code), latin_pattern(self.pattern) if by_piece else None, added
+        tokenizer, known, split, added = self._ready
+        if split is None or BEYOND_LATIN.search(text) or any(t in text for t in added):
             return array.array(code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(text) <= LONG_TEXT:
             return b"".join(map(known.__getitem__, split.findall(text)))
@@ -190,7 +189,7 @@ def write_sequences(
 ) -> None:
     """Write the ids of all texts in ascending ``key`` order, each followed by ``end_id``.
 
-    ``encoder`` is a broadcast ``Encoder``. Null and empty texts give the end
+    ``encoder`` is a shared ``Encoder``. Bytes that are no UTF-8 are encoded as U+FFFD. Null and empty texts give the end
     id alone; null keys come first; rows equal in key are ordered by a hash of their text. Other
     columns are not read. No rows write no file with sequences.
     """
@@ -201,14 +200,14 @@ def write_sequences(
         task, before, shard = TaskContext.get().partitionId(), 0, _Shard(coder.dtype, length)
         for batch in batches:
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                shard.add(doc_id, coder.encode(value.as_py() or "") + stop)
+                shard.add(doc_id, coder.encode(whole_text(value.as_py() or b"")) + stop)
                 if shard.n >= file_ids:
                     yield pa.RecordBatch.from_arrays([pa.array([shard.to_bytes(task, before)], pa.binary())], ["content"])
                     before, shard = before + shard.n, _Shard(coder.dtype, length)
         if shard.n:
             yield pa.RecordBatch.from_arrays([pa.array([shard.to_bytes(task, before)], pa.binary())], ["content"])
 
-    used = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    used = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("binary").alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = used.repartitionByRange(n, "key").sortWithinPartitions("key", F.xxhash64("text"))
     with arrow_rows(docs.sparkSession, 500):

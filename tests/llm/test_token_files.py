@@ -10,7 +10,7 @@ import tokenizers
 from hypothesis import given, settings, strategies as st
 
 from firmweave.llm import token_files as F
-from firmweave.llm.common import read_files, scratch_path
+from firmweave.llm.common import Shared, read_files, scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -21,16 +21,14 @@ def definition():
 
 @pytest.fixture(scope="module")
 def known(definition):
-    t = tokenizers.Tokenizer.from_str(definition)
-    t.encode_special_tokens = True
-    return t
+    return tokenizers.Tokenizer.from_str(definition)
 
 
 ENCODERS = {}
 
 
 def test_encoder_equals_the_library(definition, known, monkeypatch):
-    texts = ["", "Hello  there's 1st\n\n x", "été où", "日本 ɐ", "<|endoftext|>a", "a\x1cb \xa0 c" * 30, "y" * 3000]
+    texts = ["", "Hello  there's 1st\n\n x", "été où", "日本 ɐ", "<|endoftext|>a", "a <|endoftext|> b", "<|endoftext|><|endoftext", "é日 <|endoftext|>", "a\x1cb \xa0 c" * 30, "y" * 3000]
     for remembered in (500_000, 2):
         monkeypatch.setattr(F, "REMEMBERED", remembered)
         e = F.Encoder(definition, P.PATTERN)
@@ -53,8 +51,9 @@ def test_any_latin_text(definition, known, text):
 @pytest.mark.parametrize("file_ids", [4_000_000, 40])
 def test_round_trip(spark, definition, known, file_ids):
     rows = [(i, f"text number {i} " * (i % 17)) for i in range(60, 0, -1)] + [(7, "twice"), (7, "twice"), (None, None), (80, "w " * 5000), (81, None)]
+    rows += [(90, "a <|endoftext|> b")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("ids", __import__("pyspark").sql.functions.lit(1))
-    encoder = spark.sparkContext.broadcast(F.Encoder(definition, P.PATTERN))
+    encoder = Shared(spark, F.Encoder(definition, P.PATTERN))
     path = scratch_path(spark, "t")
     F.write_sequences(df, encoder, path, length=16, file_ids=file_ids)
     got = sorted(F.read_documents(spark, path).collect(), key=lambda r: r.start)
