@@ -21,11 +21,11 @@ from firmweave.functions.similarity import (
     LENGTH_RATIO_LIMIT, TOKEN_WEIGHT, indel_budget, indel_distance, weighted_score, within_edits,
 )
 from firmweave.functions.text import comparable, token_sort_key, tokens
+from firmweave.operators.relational import lookup
 from firmweave.storage import cut_lineage
 
-# A key with more index rows than this is refined by a further segment, at most so often.
+# A key with more index rows than this is refined by a further segment.
 REFINE_ROWS = 2_000
-REFINE_DEPTH = 6
 # Pairs with a budget up to this meet by deletions; a text of n characters has about n ** 3 / 6 of three.
 SMALL_BUDGET = 3
 
@@ -113,15 +113,14 @@ def _deletions(text: Column, times: int) -> Column:
     return left
 
 
-def _near(texts: DataFrame, num: int, den: int, strict: bool, two_sided: bool) -> DataFrame:
-    """Pairs (a, b) with a budget up to SMALL_BUDGET that are within it, length(a) <= length(b). Input: text, side.
+def _near(texts: DataFrame, lengths: list[int], num: int, den: int, strict: bool, two_sided: bool) -> DataFrame | None:
+    """Pairs (a, b, distance) with a budget up to SMALL_BUDGET that are within it, length(a) <= length(b). Input: text, side.
 
     Texts at indel distance d have a common rest after d deletions, shared out by their
-    lengths. So pairs meet at such a rest, and all that meet are within the budget.
+    lengths. So pairs meet at such a rest, and all that meet are within the budget; three edits at most leave
+    no doubt about the distance. ``lengths`` of texts are few where budgets are small. None if no pair can have such a budget.
     """
-    longest = (SMALL_BUDGET + 2) * den // max(num, 1) + 1  # beyond it every budget is larger
-    sized = texts.withColumn("n", F.length("text")).filter(F.col("n") <= longest)
-    lengths = sorted(r["n"] for r in sized.select("n").distinct().collect())
+    sized = texts.withColumn("n", F.length("text"))
     sides: dict[tuple[str, int], list[tuple[int, int, int]]] = {}
     for low in lengths:
         for high in (x for x in lengths if x >= low):
@@ -148,21 +147,25 @@ def _near(texts: DataFrame, num: int, den: int, strict: bool, two_sided: bool) -
         return reduce(DataFrame.unionByName, parts) if parts else None
 
     left, right = rests("a"), rests("b")
-    columns = ["a", "b", *(["side_a"] if two_sided else [])]
     if left is None or right is None:
-        return texts.select(F.col("text").alias("a"), F.col("text").alias("b"), F.col("side").alias("side_a")).select(*columns).limit(0)
+        return None
     longer = F.col("high") > F.col("low")
     if two_sided:
         once = (F.col("side_a") != F.col("side_b")) & (longer | (F.col("side_a") == 0))
     else:
         once = longer | (F.col("a") < F.col("b"))
-    return left.join(right, ["rest", "low", "high"]).filter(once).select(*columns)
+    gap = F.col("high") - F.col("low")
+    # the distance has the parity of the gap; a gap of one is all there is if one edit does it
+    beyond = F.when(gap == 0, F.when(F.col("a") == F.col("b"), 0).otherwise(2)).when(
+        gap == 1, F.when(F.levenshtein("a", "b") == 1, 0).otherwise(2)).otherwise(0)
+    met = left.join(right, ["rest", "low", "high"]).filter(once)
+    return met.select("a", "b", *(["side_a"] if two_sided else []), (gap + beyond).alias("distance")).distinct()
 
 
 def _candidates(
-    texts: DataFrame, num: int, den: int, strict: bool, two_sided: bool, refine_rows: int, depth: int
+    texts: DataFrame, num: int, den: int, strict: bool, two_sided: bool, refine_rows: int
 ) -> DataFrame:
-    """Pairs (a, b) within edit distance, length(a) <= length(b). Input: text, side."""
+    """Pairs (a, b) with a budget above SMALL_BUDGET within edit distance, length(a) <= length(b). Input: text, side."""
     n = F.length("text")
     shortest, longest = _length_limits(n, num, den)
     segments = F.array_distinct(
@@ -194,56 +197,50 @@ def _candidates(
         )
         .filter((F.col("m") > F.col("gap")) & (F.col("m") > SMALL_BUDGET + 1))
     )
+    budget = indel_budget(F.length("a") + F.length("b"), num, den, strict)
+    gap = F.length("b") - F.length("a")
+    once = (F.col("side_a") != F.col("side_b")) & ((gap > 0) | (F.col("side_a") == 0)) if two_sided else (gap > 0) | (F.col("a") < F.col("b"))
+    # edit distance never exceeds indel distance
+    fits = (gap >= 0) & once & (budget >= gap) & within_edits(F.col("a"), F.col("b"), budget)
+    return _meet(index, probe, fits, refine_rows).select("a", "b", *(["side_a"] if two_sided else [])).distinct()
+
+
+def _meet(index: DataFrame, probe: DataFrame, fits: Column, refine_rows: int) -> DataFrame:
+    """Pairs (a, side_a, b, side_b) of index and probe rows with equal keys that are ``fits``.
+
+    A crowded key is refined by a further segment of what is left, as often as the rests are long enough to be cut;
+    shorter rests differ by their budget at most, so what meets there is as good as alike.
+    """
     found = []
-    for level in range(depth):
+    while True:
         # a remainder shorter than its number of segments cannot be told apart further
         counted = index.groupBy("key").agg(
             F.count(F.lit(1)).alias("rows"), F.min("n").alias("n"), F.min("m").alias("m")
         )
-        crowded = None
-        if level < depth - 1:
-            many = counted.filter((F.col("rows") > refine_rows) & (F.col("n") >= F.col("m")))
-            # keys that nothing probes need no refinement
-            crowded = cut_lineage(
-                probe.select("key").join(many.select("key"), "key", "left_semi").distinct()
-            )
-        if crowded is None or crowded.isEmpty():
-            found.append(_join_keys(index, probe, num, den, strict, two_sided))
-            break
-        sparse = index.join(crowded, "key", "left_anti")
-        found.append(_join_keys(sparse, probe, num, den, strict, two_sided))
+        many = counted.filter((F.col("rows") > refine_rows) & (F.col("n") >= F.col("m")))
+        # keys that nothing probes need no refinement
+        crowded = cut_lineage(
+            probe.select("key").join(many.select("key"), "key", "left_semi").distinct()
+        )
+        if crowded.isEmpty():
+            found.append(_join_keys(index, probe, fits))
+            return reduce(DataFrame.unionByName, found)
+        found.append(_join_keys(index.join(crowded, "key", "left_anti"), probe, fits))
         keep = ["text", "side", "rest", "n", "m", F.col("key").alias("base")]
         index = cut_lineage(_index(index.join(crowded, "key", "left_semi").select(*keep)), spread=True)
         probe = cut_lineage(
             _probe(probe.join(crowded, "key", "left_semi").select(*keep, "gap")), spread=True
         )
-    # of large budgets; small ones meet by deletions, which common segments do not crowd
-    return reduce(DataFrame.unionByName, [*found, _near(texts, num, den, strict, two_sided)]).distinct()
 
 
-def _join_keys(
-    index: DataFrame, probe: DataFrame, num: int, den: int, strict: bool, two_sided: bool
-) -> DataFrame:
-    a, b = F.col("a"), F.col("b")
+def _join_keys(index: DataFrame, probe: DataFrame, fits: Column) -> DataFrame:
     left = index.select("key", F.col("text").alias("a"), F.col("side").alias("side_a"))
     right = probe.select("key", F.col("text").alias("b"), F.col("side").alias("side_b"))
-    budget = indel_budget(F.length(a) + F.length(b), num, den, strict)
-    gap = F.length(b) - F.length(a)
-    if two_sided:
-        once = (F.col("side_a") != F.col("side_b")) & ((gap > 0) | (F.col("side_a") == 0))
-    else:
-        once = (gap > 0) | (a < b)
-    return (
-        left.join(right, "key")
-        # edit distance never exceeds indel distance
-        .filter((gap >= 0) & once & (budget >= gap) & within_edits(a, b, budget))
-        .select("a", "b", *(["side_a"] if two_sided else []))
-    )
+    return left.join(right, "key").filter(fits).select("a", "side_a", "b", "side_b")
 
 
 def ratio_pairs(
-    left: DataFrame, right: DataFrame | None = None, *, num: int, den: int, strict: bool,
-    refine_rows: int = REFINE_ROWS, depth: int = REFINE_DEPTH,
+    left: DataFrame, right: DataFrame | None = None, *, num: int, den: int, strict: bool, refine_rows: int = REFINE_ROWS,
 ) -> DataFrame:
     """All pairs (a, b, distance) of non-empty texts with ``distance * den < num * total length``.
 
@@ -251,31 +248,50 @@ def ratio_pairs(
     are within ``left`` and unordered (each once, a is the shorter or smaller).
     ``strict=False`` turns ``<`` into ``<=``.
     """
+    two_sided = right is not None
     texts = left.select("text", F.lit(0).alias("side"))
-    if right is not None:
+    if two_sided:
         texts = texts.unionByName(right.select("text", F.lit(1).alias("side")))
     texts = cut_lineage(texts.filter("text != ''").distinct(), spread=True)
-    pairs = _candidates(texts, num, den, strict, right is not None, refine_rows, depth)
-    if right is not None:
+    # a pair's budget is small only if both are short; so is the number of such lengths
+    short = (SMALL_BUDGET + 2) * den // max(num, 1) + 1
+    n = F.length("text")
+    seen = texts.agg(F.collect_set(F.when(n <= short, n)).alias("short"), F.coalesce(F.max(n), F.lit(0)).alias("longest")).first()
+    parts = []
+    near = _near(texts, sorted(seen["short"]), num, den, strict, two_sided)
+    if near is not None:
+        parts.append(near)
+    if 2 * seen["longest"] * num > SMALL_BUDGET * den:
+        budget = indel_budget(F.length("a") + F.length("b"), num, den, strict)
+        wide = _candidates(texts, num, den, strict, two_sided, refine_rows)
+        parts.append(wide.withColumn("distance", indel_distance(F.col("a"), F.col("b"))).filter(F.col("distance") <= budget))
+    if not parts:
+        return texts.select(F.col("text").alias("a"), F.col("text").alias("b"), F.lit(0).alias("distance")).limit(0)
+    pairs = reduce(DataFrame.unionByName, parts)
+    if two_sided:
         turned = F.col("side_a") == 1
         pairs = pairs.select(
             F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
-            F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
+            F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"), "distance",
         )
-    budget = indel_budget(F.length("a") + F.length("b"), num, den, strict)
-    return pairs.withColumn("distance", indel_distance(F.col("a"), F.col("b"))).filter(
-        F.col("distance") <= budget
-    )
+    return pairs
 
 
 def percent(distance: Column, total: Column) -> Column:
     return F.lit(100.0) * (F.lit(1.0) - distance / total)
 
 
-def best_other_names(names: DataFrame, column: str = "name", num: int = 1, den: int = 10) -> DataFrame:
+def best_other_names(
+    names: DataFrame, column: str = "name", num: int = 1, den: int = 10,
+    scorer: Callable[[Column, Column], Column] | None = None, reach: tuple[int, int] | None = None,
+) -> DataFrame:
     """For each name its best other name by token-sort ratio (name, best, score).
 
     Kept only above ``100 * (1 - num / den)``. Ties go to the smaller name.
+
+    Another ``scorer`` of two names' sorted words (0 to 100) is asked instead about all pairs whose token-sort ratio is above
+    ``100 * (1 - reach)``; ``reach`` (a fraction as two whole numbers, by default num and den) says how far below the cut-off
+    the ratio of a pair may be that the scorer puts above it, so choose it for the scorer. Equal words in another order score 100.
     """
     keyed = cut_lineage(
         names.select(F.col(column).alias("name")).filter("name != ''").distinct()
@@ -292,7 +308,9 @@ def best_other_names(names: DataFrame, column: str = "name", num: int = 1, den:
         F.when(F.col("name") == F.col("first"), F.col("second")).otherwise(F.col("first")).alias("best"),
         F.lit(100.0).alias("score"),
     )
-    pairs = ratio_pairs(groups.select("text"), num=num, den=den, strict=True)
+    wide = reach or (num, den)
+    pairs = ratio_pairs(groups.select("text"), num=wide[0], den=wide[1], strict=True)
+    score = percent(F.col("distance"), F.length("a") + F.length("b")) if scorer is None else scorer(F.col("a"), F.col("b"))
     both = pairs.select(
         F.inline(
             F.array(
@@ -303,7 +321,8 @@ def best_other_names(names: DataFrame, column: str = "name", num: int = 1, den:
     )
     scored = (
         both.join(groups.select(F.col("text").alias("b"), "first"), "b")
-        .withColumn("score", percent(F.col("distance"), F.length("a") + F.length("b")))
+        .withColumn("score", score)
+        .filter(F.lit(True) if scorer is None else F.col("score") * den > 100 * (den - num))
         .groupBy("a")
         .agg(F.min(F.struct((-F.col("score")).alias("rank"), F.col("first").alias("best"))).alias("top"))
     )
@@ -319,53 +338,116 @@ def _token_set_key(text: str) -> Column:
     return F.array_join(F.sort_array(F.array_distinct(tokens(text))), " ")
 
 
-def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame) -> DataFrame:
-    """Pairs whose token-set score may reach the cut-off: rare tokens of one side, all of the other.
+def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame, refine_rows: int) -> DataFrame:
+    """Pairs (a, b) whose token-set score may reach the cut-off: rare tokens of one side, all of the other.
 
     With ``d`` edits between the leftovers, at most ``2 d`` distinct tokens of a
-    name lack a twin, so one of its ``2 d + 1`` rarest tokens is shared.
+    name lack a twin, so one of its ``2 d + 1`` rarest tokens is shared. A token that more than ``refine_rows``
+    names have is not a key by itself: names that share it share another one too, which makes a key of two (of three, where those
+    are crowded as well, and so on), or no other, and then what is left of them is within ``d`` edits, so a segment of it makes the key.
     """
     slack = 100 * TOKEN_WEIGHT - cutoff
-    rank = F.sort_array(
-        F.collect_list(F.struct(F.col("df"), F.col("token")))
-    )
+    reached = lambda total: F.floor(total * slack / (100 * TOKEN_WEIGHT)).cast("int")
     longest = F.length("text") * (1 + LENGTH_RATIO_LIMIT)
-    edits = F.floor(longest * slack / (100 * TOKEN_WEIGHT)).cast("int")
-    long_form = some.select("text", F.explode(F.array_distinct(tokens("text"))).alias("token"))
-    rare = (
-        long_form.join(df, "token")
-        .groupBy("text").agg(rank.alias("ranked"))
-        .select(F.col("text").alias("a"), F.explode(F.slice("ranked", F.lit(1), 2 * edits + 1)).alias("r"))
-        .select("a", F.col("r.token").alias("token"))
-    )
-    every = other.select(F.col("text").alias("b"), F.explode(F.array_distinct(tokens("text"))).alias("token"))
+    tokened = lambda t: t.select("text", F.array_distinct(tokens("text")).alias("tokens"))
+    long_form = lambda t: t.select("text", F.explode("tokens").alias("token"))
+    every = long_form(tokened(other)).select(F.col("text").alias("b"), "token")
+    any_crowded = not df.filter(F.col("df") > refine_rows).isEmpty()
+    # how often a token occurs is asked by every name that has it
+    counted = lookup(cut_lineage(long_form(tokened(some))), df, "token", "inner") if any_crowded else long_form(tokened(some)).join(df, "token")
+    ranked = counted.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    rare = ranked.select(
+        F.col("text").alias("a"), F.explode(F.slice("ranked", F.lit(1), 2 * reached(longest) + 1)).alias("r")
+    ).select("a", "r.token", (F.col("r.df") > refine_rows).alias("crowded"))
     la, lb = F.length("a"), F.length("b")
-    ta, tb = tokens("a"), tokens("b")
-    # leftover tokens without a twin: none on one side, or few enough on both
-    left, right = F.size(F.array_except(ta, tb)), F.size(F.array_except(tb, ta))
-    reach = F.floor((la + lb) * slack / (100 * TOKEN_WEIGHT)).cast("int")
-    return (
-        rare.join(every, "token")
-        .filter(
-            (F.greatest(la, lb) < LENGTH_RATIO_LIMIT * F.least(la, lb))
-            & ((left == 0) | (right == 0) | ((left <= 2 * reach) & (right <= 2 * reach)))
-        )
-        .select("a", "b")
+    # leftover tokens without a twin: few enough on one side
+    lone = F.least(F.size(F.array_except(tokens("a"), tokens("b"))), F.size(F.array_except(tokens("b"), tokens("a"))))
+    fits = (F.greatest(la, lb) < LENGTH_RATIO_LIMIT * F.least(la, lb)) & (lone <= 2 * reached(la + lb))
+    if not any_crowded:
+        return rare.join(every, "token").select("a", "b").filter(fits)
+    rare = cut_lineage(rare)
+    found = [rare.filter("NOT crowded").select("a", "token").join(every, "token").select("a", "b")]
+    left, right = cut_lineage(tokened(some)), cut_lineage(tokened(other))
+    common = cut_lineage(rare.filter("crowded").select("a", "token"))
+    named = lambda t: t.withColumn("shared", F.array("token")).drop("token")
+    one = named(common.join(left.withColumnRenamed("text", "a"), "a").withColumnRenamed("a", "text"))
+    two = named(long_form(right).join(common.select("token").distinct(), "token", "left_semi").join(right, "text"))
+    while True:
+        one, two = cut_lineage(one), cut_lineage(two)
+        if one.isEmpty() or two.isEmpty():
+            break
+        found.append(cut_lineage(_rest_pairs(one, two, slack / (100 * TOKEN_WEIGHT), refine_rows)))
+        # names that share one more token; small groups meet, others go on with it
+        further = lambda t: t.select("text", "tokens", "shared", F.explode(F.array_except("tokens", "shared")).alias("next")).select(
+            "text", "tokens", F.sort_array(F.concat("shared", F.array("next"))).alias("shared")).distinct()
+        one, two = further(one), further(two)
+        sizes = one.select("shared").unionAll(two.select("shared")).groupBy("shared").agg(F.count(F.lit(1)).alias("rows"))
+        crowded = cut_lineage(sizes.filter(F.col("rows") > refine_rows).select("shared"))
+        small = one.join(crowded, "shared", "left_anti").select("shared", F.col("text").alias("a"))
+        found.append(cut_lineage(small.join(two.select("shared", F.col("text").alias("b")), "shared").select("a", "b")))
+        one, two = one.join(crowded, "shared", "left_semi"), two.join(crowded, "shared", "left_semi")
+    return reduce(DataFrame.unionByName, found).distinct().filter(fits)
+
+
+def _rest_pairs(one: DataFrame, two: DataFrame, share: float, refine_rows: int) -> DataFrame:
+    """Pairs (a, b) of (text, tokens, shared) that have ``shared`` in common and may score by what is left without it: within ``share``
+    of the texts' lengths of each other, or next to nothing on one side."""
+    parts = [t.select(
+        "text", F.lit(side).alias("side"), F.array_join("shared", " ").alias("token"),
+        F.array_join(F.sort_array(F.array_except("tokens", "shared")), " ").alias("rest"),
+    ) for side, t in enumerate((one, two))]
+    sized = cut_lineage(parts[0].unionByName(parts[1]).withColumn("n", F.length("rest")))
+    size = F.length("text")
+    reach = lambda total: F.floor(total * share).cast("int")
+    shortest, longest = F.floor(size / LENGTH_RATIO_LIMIT).cast("int") + 1, F.ceil(size * LENGTH_RATIO_LIMIT).cast("int") - 1
+    # budgets that a name can have with partners in reach of its length; the shorter rest is cut, the longer one searched
+    budgets = F.array_distinct(F.transform(F.sequence(F.least(shortest, size), F.greatest(longest, size)), lambda l: reach(size + l)))
+    each = sized.filter("n > 0").withColumn("budget", F.explode(budgets))
+    base = F.xxhash64("token")
+    salted = lambda n: F.xxhash64(base, n)
+    cut = each.filter("n > budget").select("text", "side", "rest", "n", (F.col("budget") + 1).alias("m"), salted(F.col("n")).alias("base"))
+    searched = (
+        each.withColumn("partner", F.explode(F.sequence(F.greatest(F.lit(1), F.col("n") - F.col("budget")), F.col("n"))))
+        .filter("partner > budget")
+        .select("text", "side", "rest", F.col("partner").alias("n"), (F.col("n") - F.col("partner")).alias("gap"),
+                (F.col("budget") + 1).alias("m"), salted(F.col("partner")).alias("base"))
     )
+    la, lb = F.length("a"), F.length("b")
+    fits = (F.col("side_a") != F.col("side_b")) & (F.greatest(la, lb) < LENGTH_RATIO_LIMIT * F.least(la, lb))
+    met = _meet(_index(cut), _probe(searched), fits, refine_rows)
+    turned = F.col("side_a") == 1
+    pairs = met.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
+
+    def meeting(first: Column, second: Column, near: Column) -> DataFrame:
+        x, y = sized.filter("side = 0").filter(first), sized.filter("side = 1").filter(second)
+        lx, ly = F.length("x.text"), F.length("y.text")
+        close = (F.greatest(lx, ly) < LENGTH_RATIO_LIMIT * F.least(lx, ly)) & near
+        return x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & close).select(F.col("x.text").alias("a"), F.col("y.text").alias("b"))
+
+    # rests too short to be cut: few different ones, and all of them are nearly within the budget of each other
+    n = F.col("n")
+    tiny = n <= 2 * reach(size * (1 + LENGTH_RATIO_LIMIT))
+    near = F.abs(F.col("x.n") - F.col("y.n")) <= reach(F.length("x.text") + F.length("y.text"))
+    # next to nothing left: such a name scores with all that have the shared tokens
+    lone = (n == 0) | (n + 1 <= 2 * size * share)
+    every = F.lit(True)
+    return pairs.unionByName(meeting(tiny, tiny, near)).unionByName(meeting(lone, every, every)).unionByName(meeting(every, lone, every)).distinct()
 
 
 def weighted_matches(
-    left: DataFrame, right: DataFrame, cutoff: float, scorer: Callable[[Column, Column], Column] = weighted_score
+    left: DataFrame, right: DataFrame, cutoff: float, scorer: Callable[[Column, Column], Column] = weighted_score,
+    reach: float | None = None, refine_rows: int = REFINE_ROWS,
 ) -> DataFrame:
     """All pairs (a, b, score) of comparable texts with weighted ratio >= ``cutoff`` (above 90).
 
     Another ``scorer`` of two text columns (0 to 100) is asked about all pairs whose weighted ratio may reach
-    the cut-off, so it should not score a pair higher than that ratio.
+    ``reach`` (above 90, the cut-off by default): a scorer that can exceed the ratio needs a lower one.
 
     ``left`` and ``right`` have one column ``text``. Beyond the length limit no
     score exceeds 90, so candidates are: plain ratio, token-sort ratio on sorted
     tokens, and shared rare tokens for the token-set score.
     """
+    wanted, cutoff = cutoff, cutoff if reach is None else min(cutoff, reach)
     if cutoff <= 90:
         raise ValueError("partial scores are not generated, so the cut-off must exceed 90")
     left = cut_lineage(left.select("text").filter("text != ''").distinct())
@@ -379,7 +461,7 @@ def weighted_matches(
     # rounded up, so that the budget only grows; the score decides in the end
     near = ratio_pairs(
         lf.select(F.col("form").alias("text")), rf.select(F.col("form").alias("text")),
-        num=math.ceil(round((100 - cutoff) * 1_000, 6)), den=100_000, strict=False,
+        num=math.ceil(round((100 - cutoff) * 1_000, 6)), den=100_000, strict=False, refine_rows=refine_rows,
     )
     pairs = (
         near.select(F.col("a").alias("fa"), F.col("b").alias("fb"))
@@ -389,21 +471,22 @@ def weighted_matches(
     )
     if cutoff <= 100 * TOKEN_WEIGHT:
         names = left.unionByName(right)
-        df = names.select(F.explode(F.array_distinct(tokens("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-        pairs = pairs.unionByName(_token_pairs(left, right, cutoff, df)).unionByName(
-            _token_pairs(right, left, cutoff, df).select(F.col("b").alias("a"), F.col("a").alias("b"))
+        df = cut_lineage(names.select(F.explode(F.array_distinct(tokens("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+        pairs = pairs.unionByName(_token_pairs(left, right, cutoff, df, refine_rows)).unionByName(
+            _token_pairs(right, left, cutoff, df, refine_rows).select(F.col("b").alias("a"), F.col("a").alias("b"))
         )
     return (
         pairs.distinct()
         .withColumn("score", scorer(F.col("a"), F.col("b")))
-        .filter(F.col("score") >= cutoff)
+        .filter(F.col("score") >= wanted)
     )
 
 
 def best_reference(
-    names: DataFrame, reference: DataFrame, cutoff: float = 92, scorer: Callable[[Column, Column], Column] = weighted_score
+    names: DataFrame, reference: DataFrame, cutoff: float = 92, scorer: Callable[[Column, Column], Column] = weighted_score,
+    reach: float | None = None,
 ) -> DataFrame:
-    """Best reference row for each name: (name, ref_name, ref_domain, score).
+    """Best reference row for each name: (name, ref_name, ref_domain, score), with ``scorer`` and ``reach`` of ``weighted_matches``.
 
     ``names`` has column ``name``; ``reference`` has ref_name, ref_domain.
     Ties go to the smallest reference name, then the smallest domain.
@@ -414,7 +497,7 @@ def best_reference(
         .groupBy("b")
         .agg(F.min(F.struct("ref_name", "ref_domain")).alias("ref"))
     )
-    scored = weighted_matches(n.select(F.col("a").alias("text")), r.select(F.col("b").alias("text")), cutoff, scorer)
+    scored = weighted_matches(n.select(F.col("a").alias("text")), r.select(F.col("b").alias("text")), cutoff, scorer, reach)
     best = (
         scored.join(r, "b")
         .groupBy("a")

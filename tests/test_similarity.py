@@ -62,7 +62,7 @@ def corpus():
 @pytest.mark.parametrize("num,den,strict", [(1, 10, True), (19, 100, True), (6, 100, False)])
 def test_ratio_pairs_finds_every_pair(spark, corpus, num, den, strict, refine_rows):
     left, _ = corpus
-    found = fuzzy.ratio_pairs(texts(spark, left), num=num, den=den, strict=strict, refine_rows=refine_rows, depth=3)
+    found = fuzzy.ratio_pairs(texts(spark, left), num=num, den=den, strict=strict, refine_rows=refine_rows)
     got = sorted(tuple(sorted((r.a, r.b))) for r in found.collect())
 
     def close(a, b):
@@ -109,6 +109,37 @@ def test_weighted_matches_equal_brute_force(spark, cutoff):
     assert want
 
 
+def test_a_token_that_every_name_has(spark, cutoff=92):
+    """Names that share a common word with all others: found like any, and not by comparing all of them."""
+    rng = random.Random(5)
+    base = [words(rng) for _ in range(40)]
+    left = sorted({f"motors {x}" for x in base} | {"motors", "motors ab", "motors abc def"})
+    near = [mutate(rng, x) for x in base] + ["", "a", "ab", "ba", "abd", "def abc", "def abd"]
+    right = sorted({" ".join(rng.sample(parts, len(parts))) for x in near + base for parts in [f"motors {x}".split()]})
+    found = fuzzy.weighted_matches(texts(spark, left), texts(spark, right), cutoff, refine_rows=10)
+    want = {(a, b) for a in left for b in right if S.weighted_ratio(a, b) >= cutoff}
+    assert want and {(r.a, r.b) for r in found.collect()} == want
+
+
+def test_a_common_token_is_no_key(spark):
+    left = texts(spark, [f"motors {chr(97 + i // 26) * 4}{chr(97 + i % 26) * 4}" for i in range(300)])
+    df = left.select(F.explode(F.split("text", " ")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    assert fuzzy._token_pairs(left, left, 92, df, 20).count() < 300 * 80
+
+
+def test_scorers_that_exceed_the_ratio(spark):
+    names = texts(spark, ["acme motor", "acme motors", "zeta works", "zeta wurkse"]).withColumnRenamed("text", "name")
+    # scorers see the sorted words
+    first = lambda a, b: F.when(F.substring(a, 1, 1) == F.substring(b, 1, 1), 99.0).otherwise(0.0)
+    assert {r.name for r in fuzzy.best_other_names(names).collect()} == {"acme motor", "acme motors"}
+    got = {(r.name, r.best, r.score) for r in fuzzy.best_other_names(names, scorer=first, reach=(1, 4)).collect()}
+    assert got == {("acme motor", "acme motors", 99.0), ("acme motors", "acme motor", 99.0), ("zeta works", "zeta wurkse", 99.0), ("zeta wurkse", "zeta works", 99.0)}
+    left, right = texts(spark, ["acme motor works"]), texts(spark, ["acme motor wurkx"])
+    assert fuzzy.weighted_matches(left, right, 95, first).count() == 0
+    (row,) = fuzzy.weighted_matches(left, texts(spark, ["acme motor work"]), 98, first, reach=92).collect()
+    assert row.score == 99.0
+
+
 def test_low_cutoffs_are_refused(spark):
     with pytest.raises(ValueError):
         fuzzy.weighted_matches(texts(spark, ["a"]), texts(spark, ["b"]), 90)
