@@ -1,7 +1,8 @@
 """Exact k-nearest neighbours within a radius for dense vectors a user supplies.
 
-Vectors are placed in the cell of their nearest pivot. A query visits another
-cell only if the hyperplane between the two pivots is within the radius
+Vectors are placed in the cell of their nearest pivot and first searched in that cell. The k-th
+distance found there, or the radius, bounds the second pass: a query visits another
+cell only if the hyperplane between the two pivots is within its bound
 (Lu et al., "Efficient Processing of k Nearest Neighbor Joins using
 MapReduce", VLDB 2012). Cells are split into blocks of bounded size, so no
 task sees an unbounded group, and only the k best of a block leave it.
@@ -112,33 +113,38 @@ def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int
             with np.errstate(divide="ignore", invalid="ignore"):
                 margin = (d * d - (near * near)[:, None]) / (2 * apart)
             # equal pivots have no hyperplane between them
-            visit = ~(margin > radius + eps) | (apart == 0)
-            yield batch.assign(home=home, cells=[np.flatnonzero(v) for v in visit])
+            margin[apart == 0] = 0
+            visit = ~(margin > radius + eps)
+            yield batch.assign(
+                home=home, cells=[np.flatnonzero(v) for v in visit], margins=[np.maximum(m[v], 0) for m, v in zip(margin, visit)])
 
     placed = cut_lineage(
-        rows.mapInPandas(place, f"id {kind}, vector array<double>, home int, cells array<int>")
+        rows.mapInPandas(place, f"id {kind}, vector array<double>, home int, cells array<int>, margins array<double>")
     )
     sizes = placed.groupBy(F.col("home").alias("cell")).agg(
         F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("blocks")
     )
-    visits = placed.select("id", "vector", F.explode("cells").alias("cell"))
-    chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("chunks"))
-    grid = F.broadcast(sizes.join(chunks, "cell"))  # one row for each pivot
-    data = (
-        placed.select("id", "vector", F.col("home").alias("cell")).join(grid, "cell")
-        .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-        .select("cell", "block", "chunk", "id", "vector")
-    )
-    query = (
-        visits.join(grid, "cell")
-        .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .select(
-            F.col("cell").alias("c"), F.col("block").alias("r"), F.col("chunk").alias("q"),
-            F.col("id").alias("a"), F.col("vector").alias("x"),
+
+    def dealt(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Queries and data of the visited cells, by blocks of bounded size."""
+        chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("chunks"))
+        grid = F.broadcast(sizes.join(chunks, "cell"))  # one row for each pivot
+        data = (
+            placed.select("id", "vector", F.col("home").alias("cell")).join(grid, "cell")
+            .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+            .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+            .select("cell", "block", "chunk", "id", "vector")
         )
-    )
+        query = (
+            visits.join(grid, "cell")
+            .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .select(
+                F.col("cell").alias("c"), F.col("block").alias("r"), F.col("chunk").alias("q"),
+                F.col("id").alias("a"), F.col("vector").alias("x"),
+            )
+        )
+        return query, data
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -159,12 +165,28 @@ def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int
             out.append(found.groupby("a", sort=False).head(k))
         return pd.concat(out)
 
-    local = (
-        query.groupBy("c", "r", "q").cogroup(data.groupBy("cell", "block", "chunk"))
-        .applyInPandas(best, f"a {kind}, b {kind}, distance double")
-    )
+    def searched(visits: DataFrame) -> DataFrame:
+        query, data = dealt(visits)
+        return (
+            query.groupBy("c", "r", "q").cogroup(data.groupBy("cell", "block", "chunk"))
+            .applyInPandas(best, f"a {kind}, b {kind}, distance double")
+        )
+
     rank = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))
-    return local.withColumn("rank", rank).filter(F.col("rank") <= k)
+    ranked = lambda found: found.withColumn("rank", rank).filter(F.col("rank") <= k)
+    near = cut_lineage(ranked(searched(placed.select("id", "vector", F.col("home").alias("cell")))))
+    far = searched(_further_visits(placed, near, k, eps))
+    return ranked(near.drop("rank").unionByName(far))
+
+
+def _further_visits(placed: DataFrame, near: DataFrame, k: int, eps: float) -> DataFrame:
+    """(id, vector, cell): cells besides its own that may hold one of a vector's ``k`` nearest, given those of its own cell."""
+    bounds = near.filter(F.col("rank") == k).select(F.col("a").alias("id"), F.col("distance").alias("bound"))
+    cells = placed.select("id", "home", F.explode(F.arrays_zip("cells", "margins")).alias("at"))
+    open_cells = cells.filter("at.cells <> home").select("id", F.col("at.cells").alias("cell"), F.col("at.margins").alias("margin"))
+    kept = open_cells.join(bounds, "id", "left").filter(F.col("bound").isNull() | (F.col("margin") <= F.col("bound") + eps))
+    # vectors are fetched for the visits that are left
+    return kept.select("id", "cell").join(placed.select("id", "vector"), "id")
 
 
 def radius_pairs(

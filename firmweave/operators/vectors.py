@@ -68,13 +68,11 @@ def _dot(terms: Column, weights: Column) -> Column:
     )
 
 
-def cosine_pairs(vectors: DataFrame, min_cosine: float, refine_rows: int = REFINE_ROWS) -> DataFrame:
-    """Every pair (a, b, cosine), a < b, with cosine >= ``min_cosine`` among ``gram_vectors``."""
-    vectors = cut_lineage(vectors, spread=True)
+def _with_tails(vectors: DataFrame) -> DataFrame:
+    """(name, terms): terms with ``tail``, the length of a vector from that gram on."""
     size = F.size("terms")
-    tails = vectors.select(
+    return vectors.select(
         "name",
-        F.map_from_entries(F.transform("terms", lambda t: F.struct(t["gram"], t["w"]))).alias("weights"),
         F.transform(
             "terms",
             lambda t, i: F.struct(
@@ -84,51 +82,68 @@ def cosine_pairs(vectors: DataFrame, min_cosine: float, refine_rows: int = REFIN
             ),
         ).alias("terms"),
     )
-    keys = tails.select(
-        "name", "weights", "terms",
-        F.posexplode(F.filter("terms", lambda t: t["tail"] >= min_cosine - _SLACK)).alias("at", "t"),
-    ).select(
-        "name", "weights", "terms", "at", F.col("t.gram").alias("key"), F.col("t.w").alias("w"),
-        # length of what follows the gram
-        F.sqrt(F.greatest(F.lit(0.0), F.col("t.tail") * F.col("t.tail") - F.col("t.w") * F.col("t.w"))).alias("after"),
-    )
-    crowded = cut_lineage(
-        keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("top"))
-        .filter(F.col("n") > refine_rows).select("key", "top")
-    )
-    if crowded.isEmpty():
-        found = [_join_vectors(keys, min_cosine)]
-    else:
-        # within a crowded gram the rest of the vectors must still share a gram
-        # whose tail can make up for what the crowded gram leaves missing
-        need = min_cosine - _SLACK - F.col("w") * F.col("top")
-        rest = F.slice("terms", F.col("at") + 2, F.size("terms"))
-        second = F.transform(F.filter(rest, lambda t: t["tail"] >= need), lambda t: F.concat_ws("\x01", F.col("key"), t["gram"]))
-        alone = F.when(need <= 0, F.array("key")).otherwise(F.array().cast("array<string>"))
-        finer = keys.join(crowded, "key").select(
-            "name", "weights", "terms", "w", "after", F.explode(F.concat(second, alone)).alias("key")
-        )
-        found = [
-            _join_vectors(keys.join(crowded, "key", "left_anti"), min_cosine),
-            _join_vectors(finer, min_cosine),
-        ]
-    return reduce(DataFrame.unionByName, found).distinct()
-
-
-def _join_vectors(keys: DataFrame, min_cosine: float) -> DataFrame:
-    left = keys.select("key", F.col("name").alias("a"), "terms", F.col("w").alias("wa"), F.col("after").alias("ra"))
-    right = keys.select("key", F.col("name").alias("b"), "weights", F.col("w").alias("wb"), F.col("after").alias("rb"))
-    # at the rarest gram a pair shares, this is the most its cosine can be
-    reach = F.col("wa") * F.col("wb") + F.col("ra") * F.col("rb")
+
+
+def _key_columns(key: Column, need: Column, before: Column) -> list[Column]:
+    """(name, key, at, need, w, ws, after) for the gram ``t`` at place ``at``: nothing of the vector but the weights met so far
+    and the length of what follows."""
+    tail, w = F.col("t.tail"), F.col("t.w")
+    after = F.sqrt(F.greatest(F.lit(0.0), tail * tail - w * w))
+    return [F.col("name"), key.alias("key"), F.col("at"), need.alias("need"), w.alias("w"), F.concat(before, F.array(w)).alias("ws"), after.alias("after")]
+
+
+def _first_keys(tails: DataFrame, min_cosine: float) -> DataFrame:
+    """Keys of every gram that can be the rarest one a vector shares with a near one."""
+    need = F.lit(min_cosine - _SLACK)
+    grams = tails.select("name", F.posexplode("terms").alias("at", "t")).filter(F.col("t.tail") >= need)
+    return grams.select(*_key_columns(F.xxhash64("t.gram"), need, F.array().cast("array<double>")))
+
+
+def cosine_pairs(vectors: DataFrame, min_cosine: float, refine_rows: int = REFINE_ROWS) -> DataFrame:
+    """Every pair (a, b, cosine), a < b, with cosine >= ``min_cosine`` among ``gram_vectors``.
+
+    A pair meets at the rarest gram it shares. Where that gram is crowded, the rest of both vectors must make up for what
+    it leaves missing: they share a later gram too, which narrows the key, as often as needed, or what they
+    share so far is enough for both.
+    """
+    vectors = cut_lineage(vectors, spread=True)
+    tails = cut_lineage(_with_tails(vectors))
+    keys, found = cut_lineage(_first_keys(tails, min_cosine)), []
+    while True:
+        counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("top"))
+        crowded = cut_lineage(counted.filter(F.col("n") > refine_rows).select("key", "top"))
+        if crowded.isEmpty():
+            found.append(_join_keys(keys, min_cosine))
+            break
+        found.append(_join_keys(keys.join(crowded, "key", "left_anti"), min_cosine))
+        deep = cut_lineage(keys.join(crowded, "key").select("name", "key", "at", (F.col("need") - F.col("w") * F.col("top")).alias("need"), "w", "ws", "after"))
+        found.append(_join_keys(deep.filter("need <= 0"), min_cosine))
+        later = deep.select("name", "key", "need", "ws", F.col("at").alias("from")).join(tails, "name").select(
+            "name", "key", "need", "ws", "from", F.posexplode("terms").alias("at", "t")
+        ).filter((F.col("at") > F.col("from")) & (F.col("t.tail") >= F.col("need")))
+        keys = cut_lineage(later.select(*_key_columns(F.xxhash64("key", "t.gram"), F.col("need"), F.col("ws"))))
+    # vectors are fetched once for each pair
+    pairs = cut_lineage(reduce(DataFrame.unionByName, found).distinct())
+    weights = F.map_from_entries(F.transform("terms", lambda t: F.struct(t["gram"], t["w"])))
     return (
-        left.join(right, "key")
-        .filter((F.col("a") < F.col("b")) & (reach >= min_cosine - _SLACK))
+        pairs.join(vectors.select(F.col("name").alias("a"), "terms"), "a")
+        .join(vectors.select(F.col("name").alias("b"), weights.alias("weights")), "b")
         .withColumn("cosine", F.round(_dot(F.col("terms"), F.col("weights")), 9))
         .filter(F.col("cosine") >= min_cosine)
         .select("a", "b", "cosine")
     )
 
 
+def _join_keys(keys: DataFrame, min_cosine: float) -> DataFrame:
+    left = keys.select("key", F.col("name").alias("a"), F.col("ws").alias("wa"), F.col("after").alias("ra"))
+    right = keys.select("key", F.col("name").alias("b"), F.col("ws").alias("wb"), F.col("after").alias("rb"))
+    # if these are the rarest grams a pair shares, this is the most its cosine can be
+    shared = F.aggregate(F.zip_with("wa", "wb", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return left.join(right, "key").filter(
+        (F.col("a") < F.col("b")) & (shared + F.col("ra") * F.col("rb") >= min_cosine - _SLACK)
+    ).select("a", "b")
+
+
 def nearest(pairs: DataFrame, k: int, score: str, descending: bool) -> DataFrame:
     """Both directions of (a, b, score), best ``k`` for each a; ties by b."""
     both = pairs.select(

@@ -6,6 +6,21 @@ import pytest
 from firmweave.operators import knn, vectors
 
 
+def test_a_gram_in_every_name(spark):
+    """Names of the same few grams: refined as often as needed, keys without vectors."""
+    rng = random.Random(3)
+    names = sorted({"motor " * rng.randint(1, 2) + rng.choice(["", "works ", "werk "]) + "".join(rng.choice("abc") for _ in range(rng.randint(0, 4))) for _ in range(150)})
+    grams = vectors.gram_vectors(spark.createDataFrame([(n,) for n in names], "name string"))
+    weights = {r["name"]: {t["gram"]: t["w"] for t in r["terms"]} for r in grams.collect()}
+    cosine = lambda a, b: round(sum(w * weights[b].get(g, 0) for g, w in weights[a].items()), 9)
+    want = {(a, b) for i, a in enumerate(names) for b in names[i + 1:] if cosine(a, b) >= 0.8}
+    for refine_rows in (2000, 10):
+        found = vectors.cosine_pairs(grams, 0.8, refine_rows)
+        assert {(r.a, r.b) for r in found.collect()} == want
+    (one, *_) = vectors._first_keys(vectors._with_tails(grams), 0.8).limit(1).collect()
+    assert set(one.asDict()) == {"name", "key", "at", "need", "w", "ws", "after"}
+
+
 @pytest.mark.parametrize("refine_rows", [2000, 4])
 def test_cosine_pairs_equal_brute_force(spark, refine_rows):
     rng = random.Random(2)
@@ -43,6 +58,31 @@ def test_neighbours_equal_brute_force_with_many_copies(spark, monkeypatch, block
     assert got == want
 
 
+def test_the_own_cell_bounds_the_others(spark, monkeypatch):
+    """Clusters well inside the radius: the second pass visits few of the cells that the radius leaves open."""
+    rng = np.random.default_rng(4)
+    centres = 3 * rng.normal(size=(8, 3))
+    points = np.concatenate([c + 0.05 * rng.normal(size=(60, 3)) for c in centres])
+    sample, further = knn._pivots, knn._further_visits
+    monkeypatch.setattr(knn, "_pivots", lambda d, rows: sample(d, 15 * 512))
+    seen = {}
+
+    def counted(placed, near, k, eps):
+        visits = further(placed, near, k, eps)
+        seen["open"] = placed.selectExpr("sum(size(cells)) - count(*)").first()[0]
+        seen["visited"] = visits.count()
+        return visits
+
+    monkeypatch.setattr(knn, "_further_visits", counted)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(points)], "id bigint, v array<double>")
+    got = {(r.a, r.rank): r.b for r in knn.neighbours(df, "id", "v", k=4, radius=4.0).collect()}
+    want = {}
+    for i, p in enumerate(points):
+        d = np.linalg.norm(points - p, axis=1)
+        want |= {(i, n + 1): j for n, (_, j) in enumerate(sorted((d[j], j) for j in range(len(points)) if j != i and d[j] < 4.0)[:4])}
+    assert got == want and seen["visited"] * 3 < seen["open"]
+
+
 def test_user_vectors_and_unit_length(spark):
     import pandas as pd
 
