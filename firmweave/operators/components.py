@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from firmweave.operators.relational import HOT_KEY_ROWS, dense_number, lookup, salted_join
-from firmweave.storage import cut_lineage
+from firmweave.storage import cut_lineage, release
 
 
 def _with_minimum(edges: DataFrame, hub_rows: int, small: bool = False) -> DataFrame:
@@ -56,11 +56,13 @@ def connected_components(edges: DataFrame, hub_rows: int = HOT_KEY_ROWS) -> Data
         )
         # small star: u and its smaller neighbours all move to the smallest of them
         low = _with_minimum(large, hub_rows, small)
-        current = cut_lineage(
+        moved = cut_lineage(
             low.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
             .filter("u != v")
             .distinct()
         )
+        release(current)  # one round's edges at a time are on disk
+        current = moved
     return (
         current.select(F.col("u").alias("node"), F.col("v").alias("component"))
         .unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")))

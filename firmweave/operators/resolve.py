@@ -10,7 +10,7 @@ from firmweave.operators.components import (
 )
 from firmweave.operators.fuzzy import best_other_names
 from firmweave.operators.golden import refine_names, refined_entities
-from firmweave.operators.relational import HOT_KEY_ROWS, salted_join
+from firmweave.operators.relational import HOT_KEY_ROWS, lookup, salted_join
 from firmweave.operators.vectors import LEXICAL, MIN_COSINE, NEIGHBOURS, hybrid_pairs
 from firmweave.storage import cut_lineage
 
@@ -38,12 +38,13 @@ def cluster_firms(
     if pairs is None:
         cores = nodes.filter(core_name("node") != "").select(F.col("node").alias("name"))
         pairs = hybrid_pairs(cores, k=k, min_cosine=min_cosine, lexical=lexical)
-    found = label_components(nodes, pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")), "node")
+    found = cut_lineage(label_components(nodes, pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")), "node"))
     # clusters are numbered by the smallest firm id in them
     least = found.join(nodes, "node").groupBy("component").agg(F.min("least").alias("least"))
     labels = numbered_labels(least, "least", "v_")
     cluster_of = cut_lineage(
-        found.join(least, "component").join(labels, "least")
+        # most nodes can be in one component
+        lookup(found, least.join(labels, "least"), "component", "inner")
         .select("node", F.col("label").alias("cluster_id"))
     )
     return salted_join(firms, cluster_of, hot_nodes(nodes), "node", "inner").drop("node")
@@ -73,11 +74,11 @@ def alias_variants(entities: DataFrame) -> DataFrame:
     )
 
 
-def second_pass_edges(entities: DataFrame) -> DataFrame:
-    """Edges (src, dst) of canonical ids from fuzzy names, equal core names and shared aliases."""
+def second_pass_edges(entities: DataFrame, scorer=None, reach: tuple[int, int] | None = None) -> DataFrame:
+    """Edges (src, dst) of canonical ids from fuzzy names, equal core names and shared aliases; ``scorer`` and ``reach`` as in ``best_other_names``."""
     cores = entities.select("canonical_id", core_name("primary_company_name").alias("core")).filter("core != ''")
     owners = cores.groupBy("core").agg(F.min("canonical_id").alias("owner"))
-    best = best_other_names(owners, "core")
+    best = best_other_names(owners, "core", scorer=scorer, reach=reach)
     fuzzy = (
         best.join(owners.select(F.col("core").alias("name"), F.col("owner").alias("src")), "name")
         .join(owners.select(F.col("core").alias("best"), F.col("owner").alias("dst")), "best")
@@ -91,15 +92,19 @@ def second_pass_edges(entities: DataFrame) -> DataFrame:
 def master_clusters(entities: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Entities plus ``master_cluster_id``."""
     edges = second_pass_edges(entities) if edges is None else edges
-    found = label_components(entities, edges, "canonical_id")
+    found = cut_lineage(label_components(entities, edges, "canonical_id"))
     labels = numbered_labels(found, "component", "m_")
-    mapping = found.join(labels, "component").select("canonical_id", F.col("label").alias("master_cluster_id"))
+    mapping = lookup(found, labels, "component", "inner").select("canonical_id", F.col("label").alias("master_cluster_id"))
     return entities.join(mapping, "canonical_id")
 
 
-def second_pass(entities: DataFrame) -> DataFrame:
-    """Refined entities: merged, renamed to core names, aliases cleaned, largest first."""
-    refined = refine_names(refined_entities(master_clusters(entities)))
+def second_pass(entities: DataFrame, scorer=None, reach: tuple[int, int] | None = None) -> DataFrame:
+    """Refined entities: merged, renamed to core names, aliases cleaned, largest first.
+
+    ``scorer`` replaces the token-sort ratio of two core names (see ``best_other_names``).
+    """
+    edges = None if scorer is None else second_pass_edges(entities, scorer, reach)
+    refined = refine_names(refined_entities(master_clusters(entities, edges)))
     return refined.orderBy(F.desc("record_count"), "canonical_id")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firmweave.functions.text import is_missing
 from firmweave.operators import enrich, verify
-from firmweave.operators.golden import first_pass_entities
+from firmweave.operators.golden import first_pass_entities, serving_entities
 from firmweave.operators.resolve import cluster_firms, second_pass
 from firmweave.operators.standardize import harmonised_union, standardize
 from firmweave.operators.vectors import LEXICAL, MIN_COSINE, NEIGHBOURS
@@ -129,3 +129,13 @@ def run_pipeline(
     metrics |= seen
     append_metrics(spark, f"{stages.out_dir}/metrics", metrics)
     return master
+
+
+def serving_table(spark: SparkSession, clusters: DataFrame, out_dir: str, version: str = "") -> DataFrame:
+    """The 13-column golden table of clustered firms, kept under ``out_dir`` like the other stages, with its two counts in the metrics."""
+    stages = StageTables(spark, out_dir, version)
+    stages.depends_on("serving", clusters)
+    golden, seen = stages.table("serving", lambda: serving_entities(clusters), {"serving_golden_records": _rows()})
+    metrics = {"serving_input_clusters": clusters.agg(F.count_distinct("cluster_id")).first()[0]} | seen
+    append_metrics(spark, f"{stages.out_dir}/metrics", metrics)
+    return golden

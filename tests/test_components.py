@@ -73,3 +73,31 @@ def test_dense_number(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1009).cast("string").alias("k")).repartition(7)
     got = {r.k: r.number for r in dense_number(df, "k").collect()}
     assert got == {k: i for i, k in enumerate(sorted(got))}
+
+
+def test_most_firms_in_one_component(spark, monkeypatch):
+    """A component of most names is spread over tasks when names get their cluster back."""
+    from firmweave.operators import relational, resolve
+
+    salted = []
+    kept = relational.salted_join
+    monkeypatch.setattr(relational, "salted_join", lambda big, small, hot, key, how="left": salted.append(hot.collect()) or kept(big, small, hot, key, how))
+    monkeypatch.setattr(relational.lookup, "__defaults__", ("left", 10))
+    names = [f"chain {i:03d}" for i in range(60)] + ["alone one", "alone two"]
+    firms = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "unique_id string, company_name string")
+    pairs = spark.createDataFrame([(f"CHAIN {i:03d}", f"CHAIN {i + 1:03d}") for i in range(59)], "a string, b string")
+    got = {r.company_name: r.cluster_id for r in resolve.cluster_firms(firms, pairs=pairs).collect()}
+    assert len(set(got.values())) == 3 and len({got[f"chain {i:03d}"] for i in range(60)}) == 1
+    assert any(r["salts"] == 6 for rows in salted for r in rows)
+
+
+def test_one_round_of_edges_is_kept(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from firmweave import storage
+    from firmweave.operators.components import connected_components
+
+    monkeypatch.setattr(storage, "shared_dir", lambda session: str(tmp_path))
+    chain = spark.range(300).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    assert connected_components(chain).filter("component = 0").count() == 301
+    assert len(list(tmp_path.rglob("_SUCCESS"))) == 1

@@ -113,3 +113,19 @@ def test_a_changed_lookup_is_not_answered_from_old_tables(spark, tmp_path):
 
     assert domains("a.com") == {"ALONE": "a.com", "OTHER": "other.com"}
     assert domains("b.com") == {"ALONE": "b.com", "OTHER": "other.com"}
+
+
+def test_serving_table_and_its_counts(spark, tmp_path):
+    from firmweave.operators.standardize import harmonise, standardize, with_row_ids
+    from firmweave.plans.pipeline import serving_table
+
+    raw = spark.createDataFrame([("Bosch GmbH", "de"), ("Bosch AG", "de"), ("Alone Inc", "us")], "name string, country string")
+    firms = standardize(with_row_ids(harmonise(raw, "csv"), "csv"))
+    clusters = firms.withColumn("cluster_id", F.when(F.col("company_name").startswith("bosch"), "v_0").otherwise("v_1"))
+    out = str(tmp_path / "out")
+    golden = serving_table(spark, clusters, out)
+    assert golden.count() == 2 and len(golden.columns) == 13
+    serving_table(spark, clusters, out)
+    lines = spark.read.json(f"{out}/metrics").select("metrics.*").collect()
+    assert [(r.serving_input_clusters, r.serving_golden_records) for r in lines] == [(2, 2)] * 2
+    assert len(list((tmp_path / "out" / "serving").iterdir())) == 1
