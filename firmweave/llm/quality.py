@@ -137,8 +137,8 @@ def pattern_of(given: list[int]) -> int:
 def fit_labellers(counts: dict[int, int], steps: int = 200) -> dict[int, float]:
     """Probability of being good for each pattern of votes, from the patterns' counts.
 
-    A labeller is a table of how often it votes good, bad or nothing on good and on bad
-    documents. Each looks for one kind of bad text, so it says little when it finds none, but it is built to call a
+    A labeller is a table of how often its votes are good or bad on good and on bad
+    documents; no vote counts for neither. Each looks for one kind of bad text, so it says little when it finds none, but it is built to call a
     good document bad once in 1 / FALSE_ALARMS at most; held to that, the classes cannot change names.
     """
     if not counts:
@@ -154,9 +154,12 @@ def fit_labellers(counts: dict[int, int], steps: int = 200) -> dict[int, float]:
     for _ in range(steps):
         weight = np.stack([n * (1 - good), n * good])
         table = np.einsum("cp,plv->clv", weight, one_hot) + prior[:, None, :]
+        # no vote says nothing: a short text gives most labellers too little to go by
+        table[:, :, NONE] = 0
         table /= table.sum(axis=2, keepdims=True)
         table[GOOD, :, BAD] = np.minimum(table[GOOD, :, BAD], FALSE_ALARMS)
         table /= table.sum(axis=2, keepdims=True)
+        table[:, :, NONE] = 1
         share = (weight.sum(axis=1) + 1) / (n.sum() + 2)
         score = np.log(share)[:, None] + np.einsum("clv,plv->cp", np.log(table), one_hot)
         updated = 1 / (1 + np.exp(np.clip(score[BAD] - score[GOOD], -500, 500)))
