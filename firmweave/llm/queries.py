@@ -63,11 +63,15 @@ def _leaks_sql() -> str:
     doc_at, item_at = (at.replace(" FROM k", f" FROM {x}").replace("k.*", f"{x}.* EXCLUDE (t)") for x in ("dp", "ip"))
     return f"""
     WITH d AS (SELECT DISTINCT doc_id, text, {words} AS t FROM documents WHERE text IS NOT NULL),
-    i AS (SELECT min(item_id) AS item_id, t FROM (SELECT item_id, {words} AS t FROM benchmark) WHERE len(t) >= {span} GROUP BY t),
+    i AS (SELECT min(item_id) AS item_id, t FROM (SELECT item_id, {words} AS t FROM benchmark) WHERE len(t) >= {decontaminate.LEAST_TOKENS} GROUP BY t),
     dp AS (SELECT doc_id, text, t, unnest(range(0, greatest(len(t) - {span - 1}, 0))) AS p FROM d),
     ip AS (SELECT item_id, t, unnest(range(0, greatest(len(t) - {span - 1}, 0))) AS p FROM i),
     ds AS ({doc_at}), its AS ({item_at}),
-    h AS (SELECT DISTINCT ds.doc_id, ds.text, its.item_id, ds.p - its.p AS shift FROM ds JOIN its USING (mask, seed)),
+    lens AS (SELECT DISTINCT len(t) AS n FROM i WHERE len(t) < {span}),
+    whole AS (SELECT doc_id, text, p, t[p + 1:p + n] AS gram FROM (
+      SELECT doc_id, text, t, n, unnest(range(0, greatest(len(t) - n + 1, 0))) AS p FROM d, lens)),
+    h AS (SELECT DISTINCT ds.doc_id, ds.text, its.item_id, ds.p - its.p AS shift FROM ds JOIN its USING (mask, seed)
+          UNION SELECT whole.doc_id, whole.text, i.item_id, p FROM whole JOIN i ON i.t = gram),
     w AS (SELECT h.*, d.t AS dt, i.t AS it, least(len(i.t), {window}) AS compared,
             unnest(range(greatest(0, -shift), least(len(i.t), len(d.t) - shift) - least(len(i.t), {window}) + 1)) AS s
           FROM h JOIN d ON d.doc_id IS NOT DISTINCT FROM h.doc_id AND d.text = h.text JOIN i USING (item_id)),
