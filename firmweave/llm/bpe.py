@@ -26,8 +26,8 @@ from firmweave.llm.common import Shared, whole_text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# pieces remembered by a task's process; about 150 bytes each
-REMEMBERED = 500_000
+# pieces remembered by a task's process; about 250 bytes each
+REMEMBERED = 250_000
 # rows encoded between two output batches
 ROWS_OUT = 256
 # texts above this are split lazily, so that their pieces need not be held at once
@@ -166,8 +166,8 @@ class BytePairTokenizer:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _mapped(df: DataFrame, source: str, out: str, keep: list[str], function) -> DataFrame:
-    """(keep..., out): ``out`` is binary, ``function`` of the tokenizer and each value of ``source``."""
+def _mapped(df: DataFrame, source: str, out: list[str], keep: list[str], function) -> DataFrame:
+    """(keep..., out...): binary columns, what ``function`` returns for each value of ``source``."""
     wanted = [f for f in df.schema.fields if f.name in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,10 +176,11 @@ def _mapped(df: DataFrame, source: str, out: str, keep: list[str], function) ->
                 part = batch.slice(at, ROWS_OUT)
                 made = [function(v.as_py()) for v in part.column(len(wanted))]
                 columns = [part.column(i) for i in range(len(wanted))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.binary())], [*(f.name for f in wanted), out])
+                results = [pa.array([m[k] for m in made], pa.binary()) for k in range(len(out))]
+                yield pa.RecordBatch.from_arrays([*columns, *results], [*(f.name for f in wanted), *out])
 
     used = df.select(*(f.name for f in wanted), F.col(source).cast("binary").alias("__source"))
-    return used.mapInArrow(run, T.StructType([*wanted, T.StructField(out, T.BinaryType())]))
+    return used.mapInArrow(run, T.StructType([*wanted, *[T.StructField(o, T.BinaryType()) for o in out]]))
 
 
 def share(spark: SparkSession, tokenizer: BytePairTokenizer):
@@ -194,9 +195,20 @@ def encode_texts(df: DataFrame, shared, text: str = "text", out: str = "ids", ke
     no UTF-8 are encoded as U+FFFD.
     """
     keep = [c for c in df.columns if c not in (text, out)] if keep is None else keep
-    return _mapped(df, text, out, keep, lambda t: shared.value.encode(whole_text(t or b"")))
+    return _mapped(df, text, [out], keep, lambda t: (shared.value.encode(whole_text(t or b"")),))
 
 
 def decode_ids(df: DataFrame, shared, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """(keep..., out): bytes of each id list; ``keep`` defaults to all columns. Null ids give no bytes."""
-    return _mapped(df, ids, out, [c for c in df.columns if c != out] if keep is None else keep, lambda i: shared.value.decode(i or b""))
+    return _mapped(df, ids, [out], [c for c in df.columns if c != out] if keep is None else keep, lambda i: (shared.value.decode(i or b""),))
+
+
+def encode_and_decode(df: DataFrame, shared, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(keep..., ids, decoded): both of the above in one pass, so that a task needs one Python process and one tokenizer."""
+
+    def both(value: bytes | None) -> tuple[bytes, bytes]:
+        ids = shared.value.encode(whole_text(value or b""))
+        return ids, shared.value.decode(ids)
+
+    keep = [c for c in df.columns if c not in (text, "ids", "decoded")] if keep is None else keep
+    return _mapped(df, text, ["ids", "decoded"], keep, both)

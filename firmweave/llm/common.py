@@ -28,6 +28,8 @@ class Shared:
         kept = self.pickled.__dict__
         if "_made" not in kept:
             kept["_made"] = cloudpickle.loads(self.pickled.value)
+            if kept.get("_python_broadcast") is None and kept.get("_jbroadcast") is None:
+                kept.pop("_value", None)  # on an executor, the bytes are in Spark's file
         return kept["_made"]
 
 

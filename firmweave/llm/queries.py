@@ -16,14 +16,15 @@ from workload.registry import register, table
 
 @register("op1_simhash_dedup")
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and group. Null texts and those without words have fingerprint zero and are linked like any other."""
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4)
 
 
 @register("op8_byte_pair_encoding")
 def op8_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and what they decode to, as digests. A null text is an empty one, with no ids."""
     shared = bpe.share(spark, bpe.BytePairTokenizer.from_file(path("byte_bpe_50k.tiktoken"), PATTERN))
-    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), shared, keep=["doc_id"])
-    return bpe.decode_ids(encoded, shared).select(
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), shared, keep=["doc_id"]).select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
@@ -31,6 +32,7 @@ def op8_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the token files. A null text is an empty one, with the end id alone; repeated ids stay apart."""
     with open(path("byte_bpe_50k.json"), encoding="utf-8") as definition:
         encoder = Shared(spark, token_files.Encoder(definition.read(), PATTERN))
     files = scratch_path(spark, "sequences")
@@ -42,6 +44,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_warc_zip")
 def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives. A null html is an empty payload, always a response."""
     archives = scratch_path(spark, "archives")
     warc_zip.write_archives(table(spark, sf_dir, "pages"), archives)
     whole = F.col("record_type") == "response"
@@ -83,18 +86,21 @@ def _leaks_sql() -> str:
 
 @register("op10_decontaminate", _leaks_sql())
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, with the passage's place. Null texts hold none; an empty benchmark gives no rows."""
     leaks = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.select("doc_id", "item_id", "start", "matched", "compared")
 
 
 @register("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text without repeated lines. Null texts stay null; a text that loses all its lines is empty."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_repeated(docs)
 
 
 @register("op3_language_id")
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learnt from those not held out. Null texts and those without letters are ``und``; a null id is not held out."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     model = language_id.LanguageModel.learn(docs.filter("NOT held_out"))
@@ -114,11 +120,13 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 @register("op4_vector_search", _NEAREST_SQL)
 def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of every hundredth one. Null, zero and non-finite vectors take no part; repeated rows count once."""
     return vector_search.search(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
 
 @register("op7_quality")
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its score and verdict. Null and blank texts score 0; the model learns from these very documents."""
     docs = table(spark, sf_dir, "documents")
     model = quality.QualityModel.learn(docs)
     scored = quality.score_quality(docs, model, keep=["doc_id"])
@@ -130,6 +138,7 @@ register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 
 @register("op2_substring_dedup")
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share a passage with an earlier one, and where. Null and short texts share none."""
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents")).withColumnRenamed("other", "other_doc_id")
 
 

@@ -68,5 +68,8 @@ def test_columns(spark, tokenizer, known):
     assert sorted((r.doc_id or 0, bytes(r.decoded)) for r in back) == sorted((i or 0, (t or "").encode()) for i, t, _ in rows)
     for r in back:
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == known.encode_ordinary(bytes(r.decoded).decode())
+    at_once = bpe.encode_and_decode(df, shared, keep=["doc_id"])
+    assert at_once.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(repr, ((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in at_once.collect()))) == sorted(map(repr, ((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in back)))
     assert bpe.encode_texts(df.limit(0), shared).count() == 0
     assert set(bpe.encode_texts(df, shared, out="text", keep=["doc_id"]).columns) == {"doc_id", "text"}
