@@ -21,7 +21,7 @@ from firmweave.functions.similarity import (
     LENGTH_RATIO_LIMIT, TOKEN_WEIGHT, indel_budget, indel_distance, weighted_score, within_edits,
 )
 from firmweave.functions.text import comparable, token_sort_key, tokens
-from firmweave.operators.relational import lookup
+from firmweave.operators.relational import lookup, never_broadcast
 from firmweave.storage import cut_lineage
 
 # A key with more index rows than this is refined by a further segment.
@@ -158,7 +158,7 @@ def _near(texts: DataFrame, lengths: list[int], num: int, den: int, strict: bool
     # the distance has the parity of the gap; a gap of one is all there is if one edit does it
     beyond = F.when(gap == 0, F.when(F.col("a") == F.col("b"), 0).otherwise(2)).when(
         gap == 1, F.when(F.levenshtein("a", "b") == 1, 0).otherwise(2)).otherwise(0)
-    met = left.join(right, ["rest", "low", "high"]).filter(once)
+    met = left.join(never_broadcast(right), ["rest", "low", "high"]).filter(once)
     return met.select("a", "b", *(["side_a"] if two_sided else []), (gap + beyond).alias("distance")).distinct()
 
 
@@ -220,23 +220,23 @@ def _meet(index: DataFrame, probe: DataFrame, fits: Column, refine_rows: int) ->
         many = counted.filter((F.col("rows") > refine_rows) & (F.col("n") >= F.col("m")))
         # keys that nothing probes need no refinement
         crowded = cut_lineage(
-            probe.select("key").join(many.select("key"), "key", "left_semi").distinct()
+            probe.select("key").join(never_broadcast(many.select("key")), "key", "left_semi").distinct()
         )
         if crowded.isEmpty():
             found.append(_join_keys(index, probe, fits))
             return reduce(DataFrame.unionByName, found)
-        found.append(_join_keys(index.join(crowded, "key", "left_anti"), probe, fits))
+        found.append(_join_keys(index.join(never_broadcast(crowded), "key", "left_anti"), probe, fits))
         keep = ["text", "side", "rest", "n", "m", F.col("key").alias("base")]
-        index = cut_lineage(_index(index.join(crowded, "key", "left_semi").select(*keep)), spread=True)
+        index = cut_lineage(_index(index.join(never_broadcast(crowded), "key", "left_semi").select(*keep)), spread=True)
         probe = cut_lineage(
-            _probe(probe.join(crowded, "key", "left_semi").select(*keep, "gap")), spread=True
+            _probe(probe.join(never_broadcast(crowded), "key", "left_semi").select(*keep, "gap")), spread=True
         )
 
 
 def _join_keys(index: DataFrame, probe: DataFrame, fits: Column) -> DataFrame:
     left = index.select("key", F.col("text").alias("a"), F.col("side").alias("side_a"))
     right = probe.select("key", F.col("text").alias("b"), F.col("side").alias("side_b"))
-    return left.join(right, "key").filter(fits).select("a", "side_a", "b", "side_b")
+    return left.join(never_broadcast(right), "key").filter(fits).select("a", "side_a", "b", "side_b")
 
 
 def ratio_pairs(
@@ -299,11 +299,11 @@ def best_other_names(
     )
     groups = keyed.groupBy("text").agg(F.min("name").alias("first"), F.count(F.lit(1)).alias("members"))
     # same words in another order: score 100 with the smallest other name
-    twins = keyed.join(groups.filter("members > 1"), "text")
+    twins = keyed.join(never_broadcast(groups.filter("members > 1")), "text")
     second = (
         twins.filter("name != first").groupBy("text").agg(F.min("name").alias("second"))
     )
-    permuted = twins.join(second, "text").select(
+    permuted = twins.join(never_broadcast(second), "text").select(
         "name",
         F.when(F.col("name") == F.col("first"), F.col("second")).otherwise(F.col("first")).alias("best"),
         F.lit(100.0).alias("score"),
@@ -320,7 +320,7 @@ def best_other_names(
         )
     )
     scored = (
-        both.join(groups.select(F.col("text").alias("b"), "first"), "b")
+        both.join(never_broadcast(groups.select(F.col("text").alias("b"), "first")), "b")
         .withColumn("score", score)
         .filter(F.lit(True) if scorer is None else F.col("score") * den > 100 * (den - num))
         .groupBy("a")
@@ -328,7 +328,7 @@ def best_other_names(
     )
     single = (
         groups.filter("members = 1").select(F.col("text").alias("a"), F.col("first").alias("name"))
-        .join(scored, "a")
+        .join(never_broadcast(scored), "a")
         .select("name", "top.best", (-F.col("top.rank")).alias("score"))
     )
     return permuted.unionByName(single)
@@ -354,7 +354,7 @@ def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame
     every = long_form(tokened(other)).select(F.col("text").alias("b"), "token")
     any_crowded = not df.filter(F.col("df") > refine_rows).isEmpty()
     # how often a token occurs is asked by every name that has it
-    counted = lookup(cut_lineage(long_form(tokened(some))), df, "token", "inner") if any_crowded else long_form(tokened(some)).join(df, "token")
+    counted = lookup(cut_lineage(long_form(tokened(some))), df, "token", "inner") if any_crowded else long_form(tokened(some)).join(never_broadcast(df), "token")
     ranked = counted.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     rare = ranked.select(
         F.col("text").alias("a"), F.explode(F.slice("ranked", F.lit(1), 2 * reached(longest) + 1)).alias("r")
@@ -364,14 +364,14 @@ def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame
     lone = F.least(F.size(F.array_except(tokens("a"), tokens("b"))), F.size(F.array_except(tokens("b"), tokens("a"))))
     fits = (F.greatest(la, lb) < LENGTH_RATIO_LIMIT * F.least(la, lb)) & (lone <= 2 * reached(la + lb))
     if not any_crowded:
-        return rare.join(every, "token").select("a", "b").filter(fits)
+        return rare.join(never_broadcast(every), "token").select("a", "b").filter(fits)
     rare = cut_lineage(rare)
-    found = [rare.filter("NOT crowded").select("a", "token").join(every, "token").select("a", "b")]
+    found = [rare.filter("NOT crowded").select("a", "token").join(never_broadcast(every), "token").select("a", "b")]
     left, right = cut_lineage(tokened(some)), cut_lineage(tokened(other))
     common = cut_lineage(rare.filter("crowded").select("a", "token"))
     named = lambda t: t.withColumn("shared", F.array("token")).drop("token")
-    one = named(common.join(left.withColumnRenamed("text", "a"), "a").withColumnRenamed("a", "text"))
-    two = named(long_form(right).join(common.select("token").distinct(), "token", "left_semi").join(right, "text"))
+    one = named(common.join(never_broadcast(left.withColumnRenamed("text", "a")), "a").withColumnRenamed("a", "text"))
+    two = named(long_form(right).join(never_broadcast(common.select("token").distinct()), "token", "left_semi").join(never_broadcast(right), "text"))
     while True:
         one, two = cut_lineage(one), cut_lineage(two)
         if one.isEmpty() or two.isEmpty():
@@ -383,9 +383,9 @@ def _token_pairs(some: DataFrame, other: DataFrame, cutoff: float, df: DataFrame
         one, two = further(one), further(two)
         sizes = one.select("shared").unionAll(two.select("shared")).groupBy("shared").agg(F.count(F.lit(1)).alias("rows"))
         crowded = cut_lineage(sizes.filter(F.col("rows") > refine_rows).select("shared"))
-        small = one.join(crowded, "shared", "left_anti").select("shared", F.col("text").alias("a"))
-        found.append(cut_lineage(small.join(two.select("shared", F.col("text").alias("b")), "shared").select("a", "b")))
-        one, two = one.join(crowded, "shared", "left_semi"), two.join(crowded, "shared", "left_semi")
+        small = one.join(never_broadcast(crowded), "shared", "left_anti").select("shared", F.col("text").alias("a"))
+        found.append(cut_lineage(small.join(never_broadcast(two.select("shared", F.col("text").alias("b"))), "shared").select("a", "b")))
+        one, two = (t.join(never_broadcast(crowded), "shared", "left_semi") for t in (one, two))
     return reduce(DataFrame.unionByName, found).distinct().filter(fits)
 
 
@@ -422,7 +422,7 @@ def _rest_pairs(one: DataFrame, two: DataFrame, share: float, refine_rows: int)
         x, y = sized.filter("side = 0").filter(first), sized.filter("side = 1").filter(second)
         lx, ly = F.length("x.text"), F.length("y.text")
         close = (F.greatest(lx, ly) < LENGTH_RATIO_LIMIT * F.least(lx, ly)) & near
-        return x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & close).select(F.col("x.text").alias("a"), F.col("y.text").alias("b"))
+        return x.alias("x").join(never_broadcast(y).alias("y"), (F.col("x.token") == F.col("y.token")) & close).select(F.col("x.text").alias("a"), F.col("y.text").alias("b"))
 
     # rests too short to be cut: few different ones, and all of them are nearly within the budget of each other
     n = F.col("n")
@@ -465,8 +465,8 @@ def weighted_matches(
     )
     pairs = (
         near.select(F.col("a").alias("fa"), F.col("b").alias("fb"))
-        .join(lf.select(F.col("form").alias("fa"), F.col("text").alias("a")), "fa")
-        .join(rf.select(F.col("form").alias("fb"), F.col("text").alias("b")), "fb")
+        .join(never_broadcast(lf.select(F.col("form").alias("fa"), F.col("text").alias("a"))), "fa")
+        .join(never_broadcast(rf.select(F.col("form").alias("fb"), F.col("text").alias("b"))), "fb")
         .select("a", "b")
     )
     if cutoff <= 100 * TOKEN_WEIGHT:
@@ -499,10 +499,10 @@ def best_reference(
     )
     scored = weighted_matches(n.select(F.col("a").alias("text")), r.select(F.col("b").alias("text")), cutoff, scorer, reach)
     best = (
-        scored.join(r, "b")
+        scored.join(never_broadcast(r), "b")
         .groupBy("a")
         .agg(F.min(F.struct((-F.col("score")).alias("rank"), F.col("ref.ref_name"), F.col("ref.ref_domain"))).alias("top"))
     )
-    return n.join(best, "a").select(
+    return n.join(never_broadcast(best), "a").select(
         "name", "top.ref_name", "top.ref_domain", (-F.col("top.rank")).alias("score")
     )

@@ -173,3 +173,13 @@ def test_own_scorer(spark):
     (row,) = best_reference(names, reference, 92, same).collect()
     assert (row.name, row.ref_domain, row.score) == ("acme motors", "acme.com", 99.0)
     assert best_reference(names, reference, 92).count() == 2
+
+
+def test_no_table_of_names_is_broadcast(spark):
+    # what is exploded from a text is many times what Spark expects from its file
+    names = spark.range(200).select(F.format_string("Customer#%09d", "id").alias("name"))
+    plan = fuzzy.best_other_names(names)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    both = texts(spark, ["alpha beta gamma", "delta epsilon"])
+    plan = fuzzy.weighted_matches(both, both, 92)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
