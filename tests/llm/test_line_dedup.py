@@ -221,3 +221,32 @@ def test_short_and_unspaced_lines(spark):
     docs = [(1, f"And ornd.\n\n--\nkept one\n{long}"), (2, f"and ORND\n\n--\nkept two\n{near}"), (3, "日本語\nx\nAnd ornd"), (4, "日本語\nx y")]
     got = {r.doc_id: r.text for r in L.drop_repeated(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     assert got == {1: docs[0][1], 2: "\n--\nkept two", 3: "日本語\nx", 4: "x y"}
+
+
+def test_query_and_pipeline_find_all_alike_lines(spark, tmp_path):
+    """Lines with as many edits as likeness allows, few and many of them under one half."""
+    import corpus_pipeline
+    from firmweave.llm.queries import op9_line_dedup
+
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    docs = []
+    for n in (10, 20, 60, 100):
+        base = [rng.choice(vocabulary) for _ in range(n)]
+        docs.append((len(docs), " ".join(base)))
+        for _ in range(4):
+            line = list(base)
+            for at in rng.sample(range(n), n // 5):
+                line[at] = rng.choice(vocabulary)
+            docs.append((len(docs), " ".join(line)))
+    # one half in forty lines, of which pairs are alike by two edits
+    half = [rng.choice(vocabulary) for _ in range(6)]
+    for _ in range(20):
+        rest = [rng.choice(vocabulary) for _ in range(6)]
+        docs += [(len(docs) + i, " ".join([*half, *rest[:2], f"x{len(docs) + i}", *rest[2:4], f"y{len(docs) + i}", *rest[4:]])) for i in range(2)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = sorted(by_edits(docs))
+    assert sum(t == "" for _, t in expected) > 30
+    assert sorted((r.doc_id, r.text) for r in op9_line_dedup(spark, str(tmp_path)).collect()) == expected
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.fuzzy_lines(spark, df, str(tmp_path)).select("doc_id", "text").collect()) == expected
