@@ -4,8 +4,8 @@ Vectors are placed in the cell of their nearest pivot and first searched in that
 distance found there, or the radius, bounds the second pass: a query visits another
 cell only if the hyperplane between the two pivots is within its bound
 (Lu et al., "Efficient Processing of k Nearest Neighbor Joins using
-MapReduce", VLDB 2012). Cells are split into blocks of bounded size, so no
-task sees an unbounded group, and only the k best of a block leave it.
+MapReduce", VLDB 2012). Cells are dealt to groups of bounded size, large ones split into blocks, so no
+task sees an unbounded group; a query goes once to a group, however many of its cells it visits, and only the k best of a block leave it.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_PIVOTS = 1_024
 MAX_PIVOT_BYTES = 32 * 1024 * 1024
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 32_768  # rows, and queries, that meet in one task
 
 
 def unit_vectors(df: DataFrame, column: str) -> DataFrame:
@@ -96,18 +96,37 @@ def neighbours(
     )
 
 
+def _groups_of(sizes: dict[int, int], cells: int, block_rows: int) -> tuple[list[int], list[int]]:
+    """(group of each cell, blocks of each group): neighbouring cells together up to ``block_rows`` rows; a larger one alone, in blocks."""
+    group, blocks, held = [], [], block_rows
+    for cell in range(cells):
+        rows = sizes.get(cell, 0)
+        if not blocks or held + rows > block_rows:
+            blocks.append(max(1, -(-rows // block_rows)))
+            held = 0
+        held += rows
+        group.append(len(blocks) - 1)
+    return group, blocks
+
+
 def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int) -> DataFrame:
     kind = dict(rows.dtypes)["id"]
     pivots = _pivots(rows, rows.count())
     between = _distances(pivots, pivots)
     eps = 1e-6
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.assign(home=_distances(np.stack(batch["vector"].to_numpy()).astype("float64"), pivots).argmin(1))
+
+    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Cells that the radius leaves open, each with how far away it begins."""
         for batch in batches:
             if not len(batch):
                 continue
             d = _distances(np.stack(batch["vector"].to_numpy()).astype("float64"), pivots)
-            home = d.argmin(1)
+            home = batch["home"].to_numpy()
             near = d[np.arange(len(d)), home]
             apart = between[home]
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -115,78 +134,95 @@ def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int
             # equal pivots have no hyperplane between them
             margin[apart == 0] = 0
             visit = ~(margin > radius + eps)
-            yield batch.assign(
-                home=home, cells=[np.flatnonzero(v) for v in visit], margins=[np.maximum(m[v], 0) for m, v in zip(margin, visit)])
+            yield batch.assign(cells=[np.flatnonzero(v) for v in visit], margins=[np.maximum(m[v], 0) for m, v in zip(margin, visit)])
 
-    placed = cut_lineage(
-        rows.mapInPandas(place, f"id {kind}, vector array<double>, home int, cells array<int>, margins array<double>")
-    )
-    sizes = placed.groupBy(F.col("home").alias("cell")).agg(
-        F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("blocks")
-    )
+    settled = cut_lineage(rows.mapInPandas(settle, f"id {kind}, vector array<double>, home int"))
+    counted = {r["home"]: r["n"] for r in settled.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each pivot
+    group, blocks = _groups_of(counted, len(pivots), block_rows)
+    group_of = F.lit(",".join(map(str, group)))
+    group_of = F.split(group_of, ",").cast("array<int>")
+    blocks_of = F.split(F.lit(",".join(map(str, blocks))), ",").cast("array<bigint>")
 
     def dealt(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Queries and data of the visited cells, by blocks of bounded size."""
-        chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("chunks"))
-        grid = F.broadcast(sizes.join(chunks, "cell"))  # one row for each pivot
+        """Queries and data of the visited groups of cells, by blocks of bounded size. A query goes once to each block, with the cells it visits there."""
+        grouped = visits.withColumn("groups", F.transform("cells", lambda c: F.get(group_of, c)))
+        asked = grouped.select("id", "vector", "bound", "cells", "groups", F.explode(F.array_distinct("groups")).alias("g"))
+        chunks = grouped.select(F.explode(F.array_distinct("groups")).alias("g")).groupBy("g").agg(
+            F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("chunks"))
+        chunks = F.broadcast(cut_lineage(chunks))  # at most one row for each pivot
         data = (
-            placed.select("id", "vector", F.col("home").alias("cell")).join(grid, "cell")
-            .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+            settled.withColumn("g", F.get(group_of, F.col("home"))).join(chunks, "g")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.get(blocks_of, F.col("g"))))
             .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-            .select("cell", "block", "chunk", "id", "vector")
+            .select("g", "block", "chunk", "id", "vector", F.col("home").alias("cell"))
         )
+        mine = F.transform(
+            F.filter(F.arrays_zip("cells", "groups"), lambda z: z["groups"] == F.col("g")), lambda z: z["cells"])
         query = (
-            visits.join(grid, "cell")
+            asked.join(chunks, "g")
             .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
-            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.get(blocks_of, F.col("g")) - 1)))
             .select(
-                F.col("cell").alias("c"), F.col("block").alias("r"), F.col("chunk").alias("q"),
-                F.col("id").alias("a"), F.col("vector").alias("x"),
+                F.col("g").alias("c"), F.col("block").alias("r"), F.col("chunk").alias("q"),
+                F.col("id").alias("a"), F.col("vector").alias("x"), "bound", mine.alias("cells"),
             )
         )
         return query, data
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"a": left["a"][:0], "b": left["a"][:0], "distance": np.zeros(0)})]
         if not len(left) or not len(right):
-            return pd.DataFrame({"a": left["a"][:0], "b": left["a"][:0], "distance": np.zeros(0)})
+            return out[0]
         x = np.stack(left["x"].to_numpy()).astype("float64")
         y = np.stack(right["vector"].to_numpy()).astype("float64")
-        ids, others = left["a"].to_numpy(), right["id"].to_numpy()
-        out: list[pd.DataFrame] = []
-        for start in range(0, len(x), 512):
-            part = x[start:start + 512]
-            i, j = np.nonzero(_distances(part, y) < radius + eps)
-            i, j = i[ids[start + i] != others[j]], j[ids[start + i] != others[j]]
-            exact = np.zeros(len(i))
-            for s in range(0, len(i), 65_536):
-                exact[s:s + 65_536] = np.linalg.norm(part[i[s:s + 65_536]] - y[j[s:s + 65_536]], axis=1)
-            found = pd.DataFrame({"a": ids[start + i], "b": others[j], "distance": exact})
-            found = found[found["distance"] < radius].sort_values(["a", "distance", "b"])
-            out.append(found.groupby("a", sort=False).head(k))
-        return pd.concat(out)
+        ids, others, bound = left["a"].to_numpy(), right["id"].to_numpy(), left["bound"].to_numpy()
+        visited = [np.asarray(c) for c in left["cells"]]
+        asking, cell = np.repeat(np.arange(len(x)), [len(c) for c in visited]), np.concatenate(visited)
+        order = np.argsort(cell, kind="stable")
+        asking, cell = asking[order], cell[order]
+        homes = right["cell"].to_numpy()
+        for c in np.unique(homes):
+            here = np.flatnonzero(homes == c)
+            visitors = asking[np.searchsorted(cell, c):np.searchsorted(cell, c, "right")]
+            z, names = y[here], others[here]
+            for start in range(0, len(visitors), 512):
+                some = visitors[start:start + 512]
+                part, limit = x[some], bound[some]
+                i, j = np.nonzero(_distances(part, z) <= (limit + eps)[:, None])
+                apart = ids[some[i]] != names[j]
+                i, j = i[apart], j[apart]
+                exact = np.zeros(len(i))
+                for s in range(0, len(i), 65_536):
+                    exact[s:s + 65_536] = np.linalg.norm(part[i[s:s + 65_536]] - z[j[s:s + 65_536]], axis=1)
+                found = pd.DataFrame({"a": ids[some[i]], "b": names[j], "distance": exact})
+                found = found[(found["distance"] < radius) & (found["distance"] <= limit[i])].sort_values(["a", "distance", "b"])
+                out.append(found.groupby("a", sort=False).head(k))
+        found = pd.concat(out).sort_values(["a", "distance", "b"])
+        return found.groupby("a", sort=False).head(k)
 
     def searched(visits: DataFrame) -> DataFrame:
         query, data = dealt(visits)
         return (
-            query.groupBy("c", "r", "q").cogroup(data.groupBy("cell", "block", "chunk"))
+            query.groupBy("c", "r", "q").cogroup(data.groupBy("g", "block", "chunk"))
             .applyInPandas(best, f"a {kind}, b {kind}, distance double")
         )
 
     rank = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))
     ranked = lambda found: found.withColumn("rank", rank).filter(F.col("rank") <= k)
-    near = cut_lineage(ranked(searched(placed.select("id", "vector", F.col("home").alias("cell")))))
-    far = searched(_further_visits(placed, near, k, eps))
+    near = cut_lineage(ranked(searched(settled.select("id", "vector", F.lit(radius).alias("bound"), F.array("home").alias("cells")))))
+    bounds = near.filter(F.col("rank") == k).select(F.col("a").alias("id"), F.col("distance").alias("bound"))
+    bounded = cut_lineage(settled.join(bounds, "id", "left"))
+    placed = bounded.mapInPandas(reach, f"id {kind}, vector array<double>, home int, bound double, cells array<int>, margins array<double>")
+    far = searched(_further_visits(placed, near, k, eps).withColumn("bound", F.coalesce("bound", F.lit(radius))))
     return ranked(near.drop("rank").unionByName(far))
 
 
 def _further_visits(placed: DataFrame, near: DataFrame, k: int, eps: float) -> DataFrame:
-    """(id, vector, cell): cells besides its own that may hold one of a vector's ``k`` nearest, given those of its own cell."""
-    bounds = near.filter(F.col("rank") == k).select(F.col("a").alias("id"), F.col("distance").alias("bound"))
-    cells = placed.select("id", "home", F.explode(F.arrays_zip("cells", "margins")).alias("at"))
-    open_cells = cells.filter("at.cells <> home").select("id", F.col("at.cells").alias("cell"), F.col("at.margins").alias("margin"))
-    kept = open_cells.join(bounds, "id", "left").filter(F.col("bound").isNull() | (F.col("margin") <= F.col("bound") + eps))
-    # vectors are fetched for the visits that are left
-    return kept.select("id", "cell").join(placed.select("id", "vector"), "id")
+    """(id, vector, bound, cells): cells besides its own that may hold one of a vector's ``k`` nearest. ``bound`` is the distance
+    of the k-th in its own cell among ``near``, null if that has fewer; ``placed`` has it with the open cells, which are not written."""
+    in_reach = lambda z: (z["cells"] != F.col("home")) & (F.col("bound").isNull() | (z["margins"] <= F.col("bound") + eps))
+    cells = F.transform(F.filter(F.arrays_zip("cells", "margins"), in_reach), lambda z: z["cells"])
+    return placed.select("id", "vector", "bound", cells.alias("cells")).filter(F.size("cells") > 0)
 
 
 def radius_pairs(

@@ -97,3 +97,27 @@ def test_user_vectors_and_unit_length(spark):
         "name", "v", k=2, min_cosine=0.88, lexical=81,
     )
     assert [(r.a, r.b) for r in pairs.collect()] == [("bilisim koza", "koza bilisim")]
+
+
+def test_a_vector_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
+    """Where nothing can be ruled out, a vector is sent on once, not once for each cell it visits."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(300, 16))
+    sample, further = knn._pivots, knn._further_visits
+    monkeypatch.setattr(knn, "_pivots", lambda d, rows: sample(d, 31 * 512))
+    seen = {}
+
+    def counted(placed, near, k, eps):
+        visits = further(placed, near, k, eps)
+        seen["open"] = placed.selectExpr("sum(size(cells))").first()[0]
+        seen["sent"] = visits.count()
+        return visits
+
+    monkeypatch.setattr(knn, "_further_visits", counted)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(points)], "id bigint, v array<double>")
+    got = {(r.a, r.rank): r.b for r in knn.neighbours(df, "id", "v", k=3, radius=9.0).collect()}
+    want = {}
+    for i, p in enumerate(points):
+        d = np.linalg.norm(points - p, axis=1)
+        want |= {(i, n + 1): j for n, (_, j) in enumerate(sorted((d[j], j) for j in range(len(points)) if j != i and d[j] < 9.0)[:3])}
+    assert got == want and seen["sent"] <= 300 < seen["open"] / 10
