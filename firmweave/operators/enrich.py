@@ -91,6 +91,7 @@ def unify_domains(entities: DataFrame) -> DataFrame:
 
     An entity has one domain, so the groups are already the components.
     """
+    entities = cut_lineage(entities)  # read four times
     rich = entities.filter(~is_missing("domain"))
     least = rich.groupBy("domain").agg(F.min("canonical_id").alias("least"))
     moved = lookup(rich, least, "domain", "inner").withColumn("canonical_id", F.col("least"))

@@ -106,3 +106,13 @@ def test_words_after_the_array_fail_the_batch(spark):
     responses = spark.createDataFrame(list(enumerate(texts)), "batch_id bigint, text string")
     got = verify.ingest_responses(requests, responses).groupBy("verified_domain").count().collect()
     assert {r.verified_domain: r["count"] for r in got} == {"x.com": 1, "Missing": 8}
+
+
+def test_unify_domains_makes_its_entities_once(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("2", "A", ["a"], 1, ["Germany"], "X.com "), ("1", "B", ["b"], 1, None, "x.com"), ("3", "C", ["c"], 1, None, None)]
+    made = spark.createDataFrame(rows, "canonical_id string, primary_company_name string, aliases array<string>, record_count bigint, operating_countries array<string>, domain string")
+    unified = enrich.unify_domains(made.withColumn("domain", F.regexp_replace(F.lower("domain"), "[ ]+$", "")))
+    assert "regexp_replace" not in unified._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.canonical_id, r.aliases, r.record_count) for r in unified.collect()) == [("1", ["a", "b"], 2), ("3", ["c"], 1)]
