@@ -139,9 +139,9 @@ def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int
     settled = cut_lineage(rows.mapInPandas(settle, f"id {kind}, vector array<double>, home int"))
     counted = {r["home"]: r["n"] for r in settled.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each pivot
     group, blocks = _groups_of(counted, len(pivots), block_rows)
-    group_of = F.lit(",".join(map(str, group)))
-    group_of = F.split(group_of, ",").cast("array<int>")
-    blocks_of = F.split(F.lit(",".join(map(str, blocks))), ",").cast("array<bigint>")
+    # without vectors there are no cells
+    group_of = F.split(F.lit(",".join(map(str, group or [0]))), ",").cast("array<int>")
+    blocks_of = F.split(F.lit(",".join(map(str, blocks or [1]))), ",").cast("array<bigint>")
 
     def dealt(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Queries and data of the visited groups of cells, by blocks of bounded size. A query goes once to each block, with the cells it visits there."""

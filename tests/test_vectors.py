@@ -121,3 +121,8 @@ def test_a_vector_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
         d = np.linalg.norm(points - p, axis=1)
         want |= {(i, n + 1): j for n, (_, j) in enumerate(sorted((d[j], j) for j in range(len(points)) if j != i and d[j] < 9.0)[:3])}
     assert got == want and seen["sent"] <= 300 < seen["open"] / 10
+
+
+def test_no_vectors(spark):
+    df = spark.createDataFrame([], "id bigint, v array<double>")
+    assert knn.neighbours(df, "id", "v", k=3, radius=1.0).count() == 0
