@@ -250,3 +250,28 @@ def test_query_and_pipeline_find_all_alike_lines(spark, tmp_path):
     assert sum(t == "" for _, t in expected) > 30
     assert sorted((r.doc_id, r.text) for r in op9_line_dedup(spark, str(tmp_path)).collect()) == expected
     assert sorted((r.doc_id, r.text) for r in corpus_pipeline.fuzzy_lines(spark, df, str(tmp_path)).select("doc_id", "text").collect()) == expected
+
+
+def test_rounds_deal_each_key_once(spark, monkeypatch):
+    """The rounds' keys are apart, none has most of them, and together they are those of one round."""
+    rng = random.Random(21)
+    docs = [(i, "\n".join(" ".join(f"w{rng.randrange(60)}" for _ in range(n)) for n in (8, 13, 30, 61))) for i in range(40)]
+    docs.append((99, " ".join(["same"] * 50)))
+    lines = L.line_table(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", True)
+    different = L.different_lines(lines)
+
+    def dealt(rounds):
+        monkeypatch.setattr(L, "ROUNDS", rounds)
+        _, parts = L._first_triples(different, lines)
+        assert len(parts) == rounds
+        return [[tuple(r) for r in p.select("bucket", "id", "words").collect()] for p in parts]
+
+    whole, *_ = dealt(1)
+    parts = dealt(3)
+    assert sorted(whole) == sorted(r for p in parts for r in p) and len(set(whole)) == len(whole)
+    assert max(map(len, parts)) < len(whole) / 2
+    for i, a in enumerate(parts):
+        assert not {r[0] for r in a} & {r[0] for b in parts[:i] for r in b}
+    # of 61 words 36 triples, and all that a line has if it has fewer
+    count = Counter((r[1], r[2]) for r in whole)
+    assert {n for (_, words), n in count.items() if words == 61} == {37} and {n for (_, words), n in count.items() if words == 50} == {1}
