@@ -275,3 +275,29 @@ def test_rounds_deal_each_key_once(spark, monkeypatch):
     # of 61 words 36 triples, and all that a line has if it has fewer
     count = Counter((r[1], r[2]) for r in whole)
     assert {n for (_, words), n in count.items() if words == 61} == {37} and {n for (_, words), n in count.items() if words == 50} == {1}
+
+
+def test_groups_of_alike_lines_meet_once(spark, monkeypatch):
+    """Of a group of near copies each line is compared with one other; links still connect groups that are chains."""
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    docs, group = [], 12
+    for _ in range(5):
+        base = [rng.choice(vocabulary) for _ in range(40)]
+        for at in range(group):
+            docs.append((len(docs), " ".join(base[:at] + [f"x{at}"] + base[at + 1 :])))
+    chain = [rng.choice(vocabulary) for _ in range(40)]
+    for at in range(0, 40, 5):
+        docs.append((len(docs), " ".join(chain)))
+        chain[at : at + 5] = [rng.choice(vocabulary) for _ in range(5)]
+    asked, compared = [], L._compared
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return compared(pairs, *rest)
+
+    monkeypatch.setattr(L, "_compared", counted)
+    got = L.drop_repeated(spark.createDataFrame(docs, "doc_id bigint, text string"), complete=True).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(by_edits(docs))
+    assert sum(r.text != "" for r in got) == 6
+    assert sum(asked) <= 5 * 2 * group + 28
