@@ -59,6 +59,18 @@ def test_long_texts_and_full_memory(tokenizer, known, monkeypatch):
     assert np.frombuffer(tokenizer.encode(text), "<u4").tolist() == known.encode_ordinary(text)
 
 
+def test_frequent_pieces_stay_when_the_memory_is_full(tokenizer, known, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    own = bpe.BytePairTokenizer(tokenizer.ranks, public_tokenizers.PATTERN)
+    merged, merge = [], own.merge
+    own.merge = lambda piece: merged.append(piece) or merge(piece)
+    for i in range(60):
+        text = f" thhenable{'abc'[i % 3]} onesherq" + "".join(f" zq{c}{i}xv" for c in "klm")
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == known.encode_ordinary(text)
+    assert merged.count(b" onesherq") == 1 and merged.count(b" thhenablea") == 1
+    assert len(own._prepared[2]) + len(own._prepared[2].older) <= 40
+
+
 def test_columns(spark, tokenizer, known):
     shared = bpe.share(spark, tokenizer)
     rows = [(1, "one two", "a"), (1, "one two", "a"), (2, None, None), (None, "", "b"), (3, "été" * 200, None)]
