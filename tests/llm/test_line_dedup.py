@@ -301,3 +301,28 @@ def test_groups_of_alike_lines_meet_once(spark, monkeypatch):
     assert sorted((r.doc_id, r.text) for r in got) == sorted(by_edits(docs))
     assert sum(r.text != "" for r in got) == 6
     assert sum(asked) <= 5 * 2 * group + 28
+
+
+def test_long_unlike_lines_are_told_apart_without_their_texts(spark, monkeypatch):
+    """A passage in many long lines gives them common keys; only pairs that can be alike are compared by their texts."""
+    rng = random.Random(41)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    passage = rng.sample(vocabulary, 40)
+    docs = [(i, " ".join(passage + rng.sample(vocabulary, 130))) for i in range(20)]
+    near = docs[3][1].split(" ")
+    for at in rng.sample(range(170), 34):
+        near[at] = rng.choice(vocabulary)
+    # likeness across the length from which lines have wide sketches
+    edge = rng.sample(vocabulary, 105)
+    docs += [(20, " ".join(near)), (21, " ".join(edge)), (22, " ".join(edge[:95]))]
+    asked, compared = [], L._compared
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return compared(pairs, *rest)
+
+    monkeypatch.setattr(L, "_compared", counted)
+    got = L.drop_repeated(spark.createDataFrame(docs, "doc_id bigint, text string"), complete=True).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(by_edits(docs))
+    assert sum(r.text == "" for r in got) == 2
+    assert sum(asked) <= 5
