@@ -307,8 +307,8 @@ def test_long_unlike_lines_are_told_apart_without_their_texts(spark, monkeypatch
     """A passage in many long lines gives them common keys; only pairs that can be alike are compared by their texts."""
     rng = random.Random(41)
     vocabulary = [f"w{i}" for i in range(20_000)]
-    passage = rng.sample(vocabulary, 40)
-    docs = [(i, " ".join(passage + rng.sample(vocabulary, 130))) for i in range(20)]
+    passage = rng.sample(vocabulary, 80)
+    docs = [(i, " ".join(passage + rng.sample(vocabulary, 90))) for i in range(20)]
     near = docs[3][1].split(" ")
     for at in rng.sample(range(170), 34):
         near[at] = rng.choice(vocabulary)
