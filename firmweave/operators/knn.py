@@ -10,6 +10,7 @@ task sees an unbounded group; a query goes once to a group, however many of its
 
 from __future__ import annotations
 
+import functools
 import sys
 from collections.abc import Iterator
 
@@ -27,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_PIVOTS = 1_024
 MAX_PIVOT_BYTES = 32 * 1024 * 1024
 BLOCK_ROWS = 32_768  # rows, and queries, that meet in one task
+HELD_PAIRS = 2_000_000  # found in a task before all but the nearest are dropped
 
 
 def unit_vectors(df: DataFrame, column: str) -> DataFrame:
@@ -58,6 +60,31 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
+def _closeness(y: np.ndarray):
+    """A function of vectors and as many limits: places (i, j) of all pairs with rows of ``y`` within the limits, and of some just beyond.
+
+    Products are made of single precision, with its error allowed for, or of double if numbers are too large for that. One product and one
+    comparison a pair tell: x y - y y / 2 >= (x x - limit * limit) / 2.
+    """
+    longest = np.sqrt((y * y).sum(1).max())
+
+    @functools.cache
+    def against(kind: type) -> np.ndarray:
+        return np.c_[y, -(y * y).sum(1) / 2].astype(kind).T
+
+    def close(x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        square = (x * x).sum(1)
+        largest = max(longest, np.sqrt(square.max()))
+        error = lambda kind: (x.shape[1] + 8) * float(np.finfo(kind).eps) * 2 * largest * largest
+        # also if they are no numbers, or the error is not small against the limits
+        kind = np.float32 if largest < 1e15 and error(np.float32) <= 1e-3 * (limit * limit).max() else np.float64
+        slack = error(kind)
+        least = ((square - limit * limit) / 2 - slack).astype(kind)
+        return np.nonzero(np.c_[x, np.ones(len(x))].astype(kind) @ against(kind) >= np.nextafter(least, kind(-np.inf))[:, None])
+
+    return close
+
+
 def neighbours(
     df: DataFrame, id_col: str, vector_col: str, *, k: int, radius: float, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -170,9 +197,8 @@ def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int
         return query, data
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"a": left["a"][:0], "b": left["a"][:0], "distance": np.zeros(0)})]
         if not len(left) or not len(right):
-            return out[0]
+            return pd.DataFrame({"a": left["a"][:0], "b": left["a"][:0], "distance": np.zeros(0)})
         x = np.stack(left["x"].to_numpy()).astype("float64")
         y = np.stack(right["vector"].to_numpy()).astype("float64")
         ids, others, bound = left["a"].to_numpy(), right["id"].to_numpy(), left["bound"].to_numpy()
@@ -181,24 +207,43 @@ def _distinct_neighbours(rows: DataFrame, k: int, radius: float, block_rows: int
         order = np.argsort(cell, kind="stable")
         asking, cell = asking[order], cell[order]
         homes = right["cell"].to_numpy()
+        a_code, b_code = (pd.factorize(v, sort=True)[0] for v in (ids, others))
+        b_code = np.where(b_code < 0, len(others), b_code)  # nulls last
+        held, size = [], 0
+
+        def nearest() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            i, j, distance = (np.concatenate(v) for v in zip(*held))
+            ranked = np.lexsort((b_code[j], distance, a_code[i]))
+            ranked = ranked[a_code[i[ranked]] >= 0]
+            code, at = a_code[i[ranked]], np.arange(len(ranked))
+            first = np.maximum.accumulate(np.where(np.r_[True, code[1:] != code[:-1]][: len(at)], at, 0))
+            ranked = ranked[at - first < k]
+            return i[ranked], j[ranked], distance[ranked]
+
         for c in np.unique(homes):
             here = np.flatnonzero(homes == c)
             visitors = asking[np.searchsorted(cell, c):np.searchsorted(cell, c, "right")]
-            z, names = y[here], others[here]
+            z = y[here]
+            close = _closeness(z)
             for start in range(0, len(visitors), 512):
                 some = visitors[start:start + 512]
-                part, limit = x[some], bound[some]
-                i, j = np.nonzero(_distances(part, z) <= (limit + eps)[:, None])
-                apart = ids[some[i]] != names[j]
+                i, j = close(x[some], bound[some] + eps)
+                i, j = some[i], here[j]
+                apart = ids[i] != others[j]
                 i, j = i[apart], j[apart]
                 exact = np.zeros(len(i))
                 for s in range(0, len(i), 65_536):
-                    exact[s:s + 65_536] = np.linalg.norm(part[i[s:s + 65_536]] - z[j[s:s + 65_536]], axis=1)
-                found = pd.DataFrame({"a": ids[some[i]], "b": names[j], "distance": exact})
-                found = found[(found["distance"] < radius) & (found["distance"] <= limit[i])].sort_values(["a", "distance", "b"])
-                out.append(found.groupby("a", sort=False).head(k))
-        found = pd.concat(out).sort_values(["a", "distance", "b"])
-        return found.groupby("a", sort=False).head(k)
+                    exact[s:s + 65_536] = np.linalg.norm(x[i[s:s + 65_536]] - y[j[s:s + 65_536]], axis=1)
+                near = (exact < radius) & (exact <= bound[i])
+                held.append((i[near], j[near], exact[near]))
+                size += int(near.sum())
+                if size > HELD_PAIRS:
+                    held = [nearest()]
+                    size = len(held[0][0])
+        if not held:
+            return pd.DataFrame({"a": left["a"][:0], "b": left["a"][:0], "distance": np.zeros(0)})
+        i, j, distance = nearest()
+        return pd.DataFrame({"a": ids[i], "b": others[j], "distance": distance})
 
     def searched(visits: DataFrame) -> DataFrame:
         query, data = dealt(visits)

@@ -126,3 +126,28 @@ def test_a_vector_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "id bigint, v array<double>")
     assert knn.neighbours(df, "id", "v", k=3, radius=1.0).count() == 0
+
+
+@pytest.mark.parametrize("offset, held", [(0, 50), (0, 10**6), (1e8, 10**6)])
+def test_neighbours_far_from_the_origin_and_in_small_stores(spark, monkeypatch, offset, held):
+    """What large coordinates leave of a product's digits loses no neighbour, nor does dropping all but the nearest on the way."""
+    monkeypatch.setattr(knn, "HELD_PAIRS", held)
+    rng = np.random.default_rng(9)
+    points = offset + rng.normal(size=(80, 4))
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(points)], "id bigint, v array<double>")
+    got = {(r.a, r.rank): r.b for r in knn.neighbours(df, "id", "v", k=5, radius=2.0).collect()}
+    want = {}
+    for i, p in enumerate(points):
+        d = np.linalg.norm(points - p, axis=1)
+        want |= {(i, n + 1): j for n, (_, j) in enumerate(sorted((d[j], j) for j in range(len(points)) if j != i and d[j] < 2.0)[:5])}
+    assert got == want
+
+
+def test_close_pairs_of_single_precision():
+    rng = np.random.default_rng(10)
+    for scale in (1e-3, 1.0, 1e5, 1e20):
+        x, y = (scale * rng.normal(size=(n, 32)) for n in (40, 300))
+        limit = scale * rng.uniform(5, 8, 40)
+        i, j = knn._closeness(y)(x, limit)
+        near = np.linalg.norm(x[:, None] - y[None], axis=2) <= limit[:, None]
+        assert near[i, j].sum() == near.sum() > 0 and len(i) <= 1.05 * near.sum() + 5
